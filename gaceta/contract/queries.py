@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaceta import session
-from gaceta.contract.articles import article_view
+from gaceta.contract.articles import article_view, documents
 from gaceta.contract.mojibake import spoil
 from gaceta.functions import text
 from gaceta.operators import analysis, checks, classify, clean, counts, keys
@@ -25,10 +25,6 @@ PARAMS = Params()
 LEVEL_COLUMNS = ["level", "year", "month", "region_id", "source_id", "word", "n"]
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
 def _dims(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     dates = session.materialize(keys.dim_date(keys.date_keys(raw)))
     sources = session.materialize(keys.dim_source(keys.source_keys(raw)))
@@ -44,11 +40,11 @@ def _fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 # --- scans and rejection ---
 
 def scan_project(spark, sf_dir):
-    return article_view(spark, sf_dir).select("publish_date", F.lower("source").alias("source"), "_seq")
+    return article_view(spark, sf_dir, texts=False).select("publish_date", F.lower("source").alias("source"), "_seq")
 
 
 def reject_null_keys(spark, sf_dir):
-    kept = clean.reject_null_keys(article_view(spark, sf_dir))
+    kept = clean.reject_null_keys(article_view(spark, sf_dir, texts=False))
     return kept.select("article_id", "publish_date", "_seq")
 
 
@@ -58,20 +54,20 @@ def dedup_first(spark, sf_dir):
 
 
 def parse_dates(spark, sf_dir):
-    narrow = article_view(spark, sf_dir).select("article_id", "publish_date", "_seq")
+    narrow = article_view(spark, sf_dir, texts=False).select("article_id", "publish_date", "_seq")
     dated = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(narrow)))
     return dated.select(
         "article_id", F.col("pub_date").cast("string").alias("pub_date"), "year", "month", "_seq")
 
 
 def etl_metrics(spark, sf_dir):
-    return clean.rejection_counts(article_view(spark, sf_dir)).drop("malformed")
+    return clean.rejection_counts(article_view(spark, sf_dir, texts=False)).drop("malformed")
 
 
 # --- dimensions and keys ---
 
 def first_seen_keys(spark, sf_dir):
-    raw = article_view(spark, sf_dir)
+    raw = article_view(spark, sf_dir, texts=False)
     dates = keys.date_keys(raw).select(
         F.lit("date").alias("kind"), F.col("fecha").alias("value"), F.col("date_id").alias("id"))
     sources = keys.source_keys(raw).select(
@@ -80,11 +76,11 @@ def first_seen_keys(spark, sf_dir):
 
 
 def dim_date(spark, sf_dir):
-    return keys.dim_date(keys.date_keys(article_view(spark, sf_dir))).orderBy("fecha")
+    return keys.dim_date(keys.date_keys(article_view(spark, sf_dir, texts=False))).orderBy("fecha")
 
 
 def dim_source(spark, sf_dir):
-    return keys.dim_source(keys.source_keys(article_view(spark, sf_dir))).orderBy("source_id")
+    return keys.dim_source(keys.source_keys(article_view(spark, sf_dir, texts=False))).orderBy("source_id")
 
 
 def dim_region(spark, sf_dir):
@@ -97,7 +93,7 @@ def dim_region(spark, sf_dir):
 
 
 def lookup_default(spark, sf_dir):
-    raw = article_view(spark, sf_dir)
+    raw = article_view(spark, sf_dir, texts=False)
     dates, sources = _dims(raw)
     rows = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(
         raw.select("article_id", "publish_date", "source", "_seq"))))
@@ -110,23 +106,23 @@ def lookup_default(spark, sf_dir):
 # --- text functions ---
 
 def fold_text(spark, sf_dir):
-    folded = _documents(spark, sf_dir).select("doc_id", text.fold(F.col("text")).alias("folded"))
+    folded = documents(spark, sf_dir).select("doc_id", text.fold(F.col("text")).alias("folded"))
     return folded.select(
         "doc_id", F.md5("folded").alias("folded_md5"),
         F.length("folded").cast("long").alias("folded_length"))
 
 
 def word_count(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", text.word_count(F.col("text")).alias("words"))
+    return documents(spark, sf_dir).select("doc_id", text.word_count(F.col("text")).alias("words"))
 
 
 def tokens(spark, sf_dir):
-    rows = counts.token_rows(_documents(spark, sf_dir), ["doc_id"], PARAMS.tokens, texts=("text",))
+    rows = counts.token_rows(documents(spark, sf_dir), ["doc_id"], PARAMS.tokens, texts=("text",))
     return rows.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def repair_text(spark, sf_dir):
-    spoiled = _documents(spark, sf_dir).select(
+    spoiled = documents(spark, sf_dir).select(
         "doc_id", spoil(F.col("text"), F.col("doc_id")).alias("bad"))
     repaired = spoiled.select(
         "doc_id", F.length("bad").cast("long").alias("spoiled_length"),
@@ -158,7 +154,9 @@ def etl_csv_roundtrip(spark, sf_dir):
     """The whole job: articles to CSV files, CSV to warehouse, and the fact read back."""
     csv = session.scratch_path(spark, "articles-csv")
     raw = article_view(spark, sf_dir).orderBy("_seq").select(*RAW_COLUMNS)
-    raw.write.option("header", True).option("escape", '"').csv(csv)
+    raw.write.csv(
+        csv, header=True, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     result = etl.run_etl(spark, csv, session.scratch_path(spark, "warehouse"), PARAMS)
     return _fact_columns(result.warehouse.fact(spark))
 
@@ -265,7 +263,7 @@ def peaks_events(spark, sf_dir):
 
 def peaks_articles(spark, sf_dir):
     """The daily series of the articles themselves; only their keys are read."""
-    raw = article_view(spark, sf_dir).select("article_id", "publish_date", "_seq")
+    raw = article_view(spark, sf_dir, texts=False).select("article_id", "publish_date", "_seq")
     dates = session.materialize(keys.dim_date(keys.date_keys(raw)))
     kept = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(raw)))
     keyed = keys.lookup_ids(kept.withColumn("fecha", F.col("publish_date")), dates, "fecha", "date_id")
@@ -291,7 +289,7 @@ def check_referential(spark, sf_dir):
 
 def check_rowcount(spark, sf_dir):
     fact, _, _ = _fact_keys(spark, sf_dir)
-    raw = article_view(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_rows"))
+    raw = article_view(spark, sf_dir, texts=False).agg(F.count(F.lit(1)).alias("raw_rows"))
     short = fact.agg((F.count(F.lit(1)) - 3).alias("raw_rows"))
     variants = {"raw": raw, "short": short}
     return reduce(DataFrame.unionByName, [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,25 +17,58 @@ def alias_pattern(aliases: tuple[str, ...]) -> str:
     return r"\b(?:" + "|".join(re.escape(a) for a in aliases) + r")\b"
 
 
-def region_scores(title: Column, body: Column, params: RegionParams) -> Column:
-    """Array of one score per scored region, over folded title and body start."""
-    def score(aliases: tuple[str, ...]) -> Column:
-        pattern = F.lit(alias_pattern(aliases))
-        return (
-            F.regexp_count(title, pattern) * params.title_weight
-            + F.regexp_count(body, pattern) * params.body_weight
-        )
+def mention_pattern(params: RegionParams) -> str | None:
+    """Runs of words that occur in aliases, joined the way alias words are joined.
 
-    return F.array(*[score(params.gazetteer[name]) for name in params.scored])
+    Every alias hit lies inside one such run, so scoring the runs instead of the text gives
+    the same hits from far fewer characters. None if an alias is not words and gaps.
+    """
+    aliases = [a for name in params.scored for a in params.gazetteer[name]]
+    if not all(re.fullmatch(r"\w+(?:\W+\w+)*", a, re.ASCII) for a in aliases):
+        return None
+    words = sorted({w for a in aliases for w in re.findall(r"\w+", a)})
+    gaps = sorted({g for a in aliases for g in re.findall(r"\W+", a)})
+    by_letter = [(letter, list(group)) for letter, group in groupby(words, key=lambda w: w[0])]
+    tails = "|".join(letter + "(?:" + "|".join(w[1:] for w in ws) + ")" for letter, ws in by_letter)
+    word = rf"(?:{tails})\b"
+    start = rf"(?=[{''.join(letter for letter, _ in by_letter)}])\b"
+    joined = "|".join(map(re.escape, gaps))
+    return rf"{start}{word}(?:(?:{joined}){word})*" if gaps else start + word
+
+
+def mentions(folded: Column, params: RegionParams) -> Column:
+    """The parts of a folded text that can hold aliases, one per line."""
+    pattern = mention_pattern(params)
+    if pattern is None:
+        return folded
+    return F.array_join(F.regexp_extract_all(folded, F.lit(pattern), F.lit(0)), "\n")
+
+
+def weighted_text(title: Column, body: Column, params: RegionParams) -> Column:
+    """Each part as often as it weighs, so that one count over all gives the score."""
+    line = lambda c: F.concat(c, F.lit("\n"))
+    return F.concat(
+        F.repeat(line(title), params.title_weight), F.repeat(line(body), params.body_weight))
+
+
+def region_scores(text: Column, params: RegionParams) -> Column:
+    """Array of the hits of every scored region in a weighted text."""
+    return F.array(*[
+        F.regexp_count(text, F.lit(alias_pattern(params.gazetteer[name])))
+        for name in params.scored
+    ])
 
 
 def assign_region(
     df: DataFrame, title: str = "title", body: str = "body",
     params: RegionParams = RegionParams(),
 ) -> DataFrame:
-    """Add ``region_id`` and ``region_name``: the one best score, else the default."""
+    """Add ``region_id`` and ``region_name``: the one best score, else the default.
+
+    Score: title hits times ``title_weight`` plus hits in the first ``body_prefix``
+    characters of the body times ``body_weight``.
+    """
     names, ids = params.scored, params.ids
-    best = F.array_max("_scores")
     ahead = F.array_position("_scores", F.col("_best"))
     behind = F.array_position(F.reverse("_scores"), F.col("_best"))
     # First place from either end is the same place only if no other score ties.
@@ -43,15 +77,16 @@ def assign_region(
     labels = [*names, params.default_label]
     id_list = F.array(*[F.lit(ids[n]) for n in labels])
     name_list = F.array(*[F.lit(n) for n in labels])
+    start = F.substring(body, 1, params.body_prefix)
     return (
-        df.withColumn("_title", fold(F.col(title)))
-        .withColumn("_body", fold(F.substring(body, 1, params.body_prefix)))
-        .withColumn("_scores", region_scores(F.col("_title"), F.col("_body"), params))
-        .withColumn("_best", best)
+        df.withColumn("_text", weighted_text(
+            mentions(fold(F.col(title)), params), mentions(fold(start), params), params))
+        .withColumn("_scores", region_scores(F.col("_text"), params))
+        .withColumn("_best", F.array_max("_scores"))
         .withColumn("_place", place)
         .withColumns({
             "region_id": F.element_at(id_list, F.col("_place")),
             "region_name": F.element_at(name_list, F.col("_place")),
         })
-        .drop("_title", "_body", "_scores", "_best", "_place")
+        .drop("_text", "_scores", "_best", "_place")
     )

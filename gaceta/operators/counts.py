@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaceta.functions.text import raw_tokens
+from gaceta.functions.text import words
 from gaceta.params import TokenParams
 
 MONTH = ["year", "month"]
@@ -19,10 +19,9 @@ def token_rows(
     texts: tuple[str, ...] = ("title", "body"),
 ) -> DataFrame:
     """One row per term. Each text is cut on its own, so no term spans two of them."""
-    found = [F.coalesce(raw_tokens(F.col(t), params), F.array().cast("array<string>")) for t in texts]
-    words = articles.select(*keys, F.explode(F.concat(*found)).alias("_token")).select(
-        *keys, F.lower("_token").alias("word"))
-    return words.where(~F.col("word").isin(*params.stop_words)) if params.stop_words else words
+    found = F.concat(*[words(F.col(t), params) for t in texts])
+    rows = articles.select(*keys, F.explode(found).alias("word"))
+    return rows.where(~F.col("word").isin(*params.stop_words)) if params.stop_words else rows
 
 
 def count_terms(
@@ -33,11 +32,6 @@ def count_terms(
     return rows.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cube_counts(articles: DataFrame, params: TokenParams = TokenParams()) -> DataFrame:
-    """Counts at the finest grain; every other term count is a re-sum of these."""
-    return count_terms(articles, [*MONTH, *REGION, *SOURCE], params)
-
-
 def resum(counts: DataFrame, keys: list[str]) -> DataFrame:
     return counts.groupBy(*keys, "word").agg(F.sum("n").alias("n"))
 

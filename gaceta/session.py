@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 # Rough cost of a hashed row beyond its own strings.
 _ROW_OVERHEAD = 48
+# Inputs up to this size are dealt out to all cores before row-by-row text work.
+SMALL_INPUT_BYTES = 1 << 30
 # Pieces a hot key is spread over when the build side is too big to broadcast.
 SALTS = 32
 
@@ -55,6 +57,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread_small(scan: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Deal the rows of a small file scan out to all cores; leave a large one alone.
+
+    A small file may be a single row group, which is one task however many cores are idle.
+    The size is read from file metadata. A large scan has splits enough and is not moved.
+    """
+    files = scan.select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size").alias("bytes")).first()["bytes"] or 0
+    if size > limit:
+        return scan
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (materialise it first) and say whether it may be broadcast."""
     size = F.lit(_ROW_OVERHEAD)
