@@ -13,6 +13,8 @@ from gaceta.operators.clean import null_na_tokens
 from gaceta.params import NA_TOKENS
 from gaceta.schema import RAW_COLUMNS
 
+# Row-group size of the landed table.
+ROW_GROUP_BYTES = 32 << 20
 _CORRUPT = "_corrupt"
 # A position is (file number, byte offset of the split + row number in the task).
 _OFFSET_BITS = 43
@@ -49,7 +51,8 @@ def scan_articles(
     if lacking:
         raise ValueError(f"article files lack the columns {lacking}")
     fields = [T.StructField(c, T.StringType()) for c in [*names, _CORRUPT]]
-    scan = spark.read.csv(
+    # With pruning, a line is held against the selected columns only and none is too long.
+    scan = spark.read.option("columnPruning", False).csv(
         path, schema=T.StructType(fields), header=True, enforceSchema=False, escape='"',
         multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT,
     )
@@ -84,6 +87,9 @@ def _number_files(rows: DataFrame, files: list[str]) -> DataFrame:
 
 
 def land_articles(rows: DataFrame, path: str) -> DataFrame:
-    """Write the scanned rows as Parquet and read them back; later steps use this copy."""
-    rows.write.mode("overwrite").parquet(path)
+    """Write the scanned rows as Parquet and read them back; later steps use this copy.
+
+    A file read in one task is written in one task; small row groups let it be read in many.
+    """
+    rows.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return rows.sparkSession.read.parquet(path)
