@@ -53,6 +53,23 @@ def warehouse_counts(
     )
 
 
+def write_counts_json(c: Counts, folder: str) -> None:
+    """The five counts as JSON lines, for tools that do not read Parquet."""
+    for name, table in vars(c).items():
+        table.write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def read_counts_json(spark: SparkSession, folder: str) -> Counts:
+    keys = {
+        "month": "year int, month int, word string", "region": "region_id int, word string",
+        "source": "source_id int, word string", "world": "word string", "day": "fecha string",
+    }
+    return Counts(**{
+        name: spark.read.schema(f"{columns}, n long").json(f"{folder}/{name}")
+        for name, columns in keys.items()
+    })
+
+
 def query_results(
     spark: SparkSession, warehouse: Warehouse, params: Params = Params(), refresh: bool = False,
 ) -> Results:

@@ -52,22 +52,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and cut its lineage with a reliable checkpoint."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Run ``df`` once, into a Parquet table in the shared folder, and read that back.
+
+    Cuts the lineage, survives lost executors, and unlike checkpointed rows the table can
+    be read by column and has a size the optimizer knows.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread_small(scan: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Deal the rows of a small file scan out to all cores; leave a large one alone.
+    """Deal the rows of a small file scan out to all cores; leave any other scan alone.
 
     A small file may be a single row group, which is one task however many cores are idle.
-    The size is read from file metadata. A large scan has splits enough and is not moved.
+    Only inputs of fewer files than cores are looked at, and their size comes from the file
+    listing. A large scan has splits enough and is not moved.
     """
-    files = scan.select("_metadata.file_path", "_metadata.file_size").distinct()
-    size = files.agg(F.sum("file_size").alias("bytes")).first()["bytes"] or 0
-    if size > limit:
+    spark = scan.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = scan.inputFiles()
+    if not 0 < len(files) < cores:
         return scan
-    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)
+    listing = spark.read.format("binaryFile").load(files).select("length")
+    size = listing.agg(F.sum("length").alias("bytes")).first()["bytes"]
+    return scan.repartition(cores) if size <= limit else scan
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

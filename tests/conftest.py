@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, app="gaceta-tests")
+    session = local_session(8, app="gaceta-tests", partitions=4)
     # Tests own their shared folder; a cluster names one in spark.checkpoint.dir.
     if not session.sparkContext.getCheckpointDir():
         session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))

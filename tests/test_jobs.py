@@ -4,6 +4,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from gaceta import session
 from gaceta.contract.articles import article_view
 from gaceta.operators import checks
 from gaceta.plans import analytics, etl
@@ -164,6 +165,17 @@ def test_counts_are_reused_until_refreshed(spark, built):
     assert store.current() != run
 
 
+def test_counts_as_json(spark, built, tmp_path):
+    _, result, _ = built
+    kept = analytics.warehouse_counts(spark, result.warehouse)
+    analytics.write_counts_json(kept, str(tmp_path))
+    back = analytics.read_counts_json(spark, str(tmp_path))
+    for name, table in vars(kept).items():
+        again = getattr(back, name)
+        assert again.columns == table.columns
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, table.collect()))
+
+
 def test_unfinished_counts_are_not_used(spark, tmp_path):
     store = CountStore(spark, str(tmp_path / "counts"))
     run = store.new_run()
@@ -197,3 +209,10 @@ def test_each_check_sees_its_fault(spark):
     }
     empty = checks.check_warehouse(fact.limit(0), date.limit(1), source, region, raw)
     assert checks.all_passed(empty)
+
+
+def test_only_small_scans_are_spread(spark):
+    scan = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 8" in plan(session.spread_small(scan))
+    assert "Repartition" not in plan(session.spread_small(scan, limit=1000))
