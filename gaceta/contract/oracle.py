@@ -168,6 +168,23 @@ _KL_OUT = """select source_id, source, round(kl, 6) as kl from (
   join (select source_id, sum(n) as total from by_source group by 1) t using (source_id)
   left join dim_source d using (source_id) group by 1, 2)"""
 
+_REPORT_TOP = f"""select year || '-' || lpad(month::varchar, 2, '0') || ', ' || term || ', ' || n as value
+  from ({_TOP_OUT})"""
+
+_REPORT_REGION = f"""
+  select '  ' || word || ': regional=' || regional_n || ', global=' || global_n || ', ratio='
+    || printf('%.4f', regional_n / global_n) as value from ({_REGION_WORDS_OUT})
+  union all select 'Región: ' || region_name from (select distinct region_name from ({_REGION_WORDS_OUT}))
+  union all select '' from (select distinct region_name from ({_REGION_WORDS_OUT}))"""
+
+_REPORT_KL = f"""select source as fuente, printf('%.6f', kl) as kl_divergencia from ({_KL_OUT})"""
+
+_REPORT_PEAKS = """select fecha, n as articulos, printf('%.1f', moving_avg) as promedio_movil_7d,
+  printf('%.2f', n / moving_avg) || 'x' as factor from series where es_peak = 1"""
+
+_REPORT_SERIES = """select fecha, n as articulos,
+  coalesce(printf('%.1f', moving_avg), '') as promedio_movil_7d, es_peak from series"""
+
 _CHECK = """select {name} as "check", {v} = 0 as passed, cast({v} as bigint) as violations"""
 
 
@@ -270,6 +287,13 @@ def oracle_sql() -> dict[str, str]:
         "peaks_events": with_sql(
             [day_sql("events", "ts"), SERIES.format(window=7, factor=1.05)], _PEAKS_OUT),
         "peaks_articles": with_sql([*ANALYSIS, SERIES.format(window=7, factor=1.5)], _SERIES_OUT),
+        "report_top_terms": with_sql(ANALYSIS, _REPORT_TOP),
+        "report_region_words": with_sql(ANALYSIS, _REPORT_REGION),
+        "report_kl": with_sql(ANALYSIS, _REPORT_KL),
+        "report_peaks": with_sql(
+            [day_sql("orders", "o_orderdate"), SERIES.format(window=7, factor=1.5)], _REPORT_PEAKS),
+        "report_series": with_sql(
+            [day_sql("orders", "o_orderdate"), SERIES.format(window=7, factor=1.5)], _REPORT_SERIES),
         "check_referential": with_sql(ETL, _REFERENTIAL_OUT),
         "check_rowcount": with_sql(ETL, _ROW_COUNT_OUT),
         "check_pk": with_sql(ETL, _PK_OUT),

@@ -218,11 +218,7 @@ def top_k_terms_month(spark, sf_dir):
 
 
 def dist_words_region(spark, sf_dir):
-    placed = classify.assign_region(clean.clean_articles(article_view(spark, sf_dir)))
-    regional = session.materialize(counts.count_terms(placed, counts.REGION, PARAMS.tokens))
-    words = analysis.words_by_region(
-        regional, counts.resum(regional, []), keys.dim_region(spark, PARAMS.regions), PARAMS.query)
-    return words.withColumn("ratio", F.round("ratio", 6))
+    return _rounded(_region_words(spark, sf_dir), "ratio")
 
 
 def dist_global(spark, sf_dir):
@@ -230,20 +226,52 @@ def dist_global(spark, sf_dir):
     return reports.global_table(counts.count_terms(articles, [], PARAMS.tokens))
 
 
-def kl_source(spark, sf_dir):
+def _kl(spark, sf_dir) -> DataFrame:
     raw = article_view(spark, sf_dir)
     sources = session.materialize(keys.dim_source(keys.source_keys(raw)))
     articles = clean.clean_articles(raw).withColumn("source", F.lower("source"))
     keyed = keys.lookup_ids(articles, sources, "source", "source_id")
     by_source = session.materialize(counts.count_terms(keyed, counts.SOURCE, PARAMS.tokens))
-    kl = analysis.kl_by_source(by_source, counts.resum(by_source, []), sources, PARAMS.query)
-    return kl.withColumn("kl", F.round("kl", 6))
+    return analysis.kl_by_source(by_source, counts.resum(by_source, []), sources, PARAMS.query)
+
+
+def kl_source(spark, sf_dir):
+    return _rounded(_kl(spark, sf_dir), "kl")
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+# --- result files, as the lines and rows they hold ---
+
+def report_top_terms(spark, sf_dir):
+    return reports.top_terms_lines(top_k_terms_month(spark, sf_dir))
+
+
+def _region_words(spark, sf_dir) -> DataFrame:
+    placed = classify.assign_region(clean.clean_articles(article_view(spark, sf_dir)))
+    regional = session.materialize(counts.count_terms(placed, counts.REGION, PARAMS.tokens))
+    return analysis.words_by_region(
+        regional, counts.resum(regional, []), keys.dim_region(spark, PARAMS.regions), PARAMS.query)
+
+
+def report_region_words(spark, sf_dir):
+    return reports.region_lines(session.materialize(_region_words(spark, sf_dir)))
+
+
+def report_kl(spark, sf_dir):
+    return reports.kl_table(_kl(spark, sf_dir))
+
+
+def report_peaks(spark, sf_dir):
+    return reports.peaks_table(analysis.volume_peaks(_orders_per_day(spark, sf_dir)))
+
+
+def report_series(spark, sf_dir):
+    return reports.series_table(analysis.daily_series(_orders_per_day(spark, sf_dir)))
+
+
 def _orders_per_day(spark, sf_dir) -> DataFrame:
     return counts.rows_per_day(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderdate")
 
@@ -331,6 +359,7 @@ def queries() -> dict[str, Query]:
         counts_day, counts_one_pass, counts_reused,
         top_k_terms_month, dist_words_region, dist_global, kl_source,
         daily_series, peaks, peaks_events, peaks_articles,
+        report_top_terms, report_region_words, report_kl, report_peaks, report_series,
         check_referential, check_rowcount, check_pk, check_partitions, check_unique_articles,
     ]
     levels = {f"counts_{level}": _count_query(level) for level in counts.LEVELS}

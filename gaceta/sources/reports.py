@@ -9,7 +9,8 @@ from gaceta.functions.dates import two_digit_month
 
 
 def _fixed(value: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", value)
+    """Fixed number of decimals, rounded from the exact binary value, ties to even."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * digits))
 
 
 def top_terms_lines(top: DataFrame) -> DataFrame:
@@ -22,7 +23,8 @@ def top_terms_lines(top: DataFrame) -> DataFrame:
 def region_lines(words: DataFrame) -> DataFrame:
     """A heading, one indented line per word and a blank line for every region."""
     line = F.format_string(
-        "  %s: regional=%d, global=%d, ratio=%.4f", "word", "regional_n", "global_n", "ratio")
+        "  %s: regional=%d, global=%d, ratio=%s",
+        "word", "regional_n", "global_n", _fixed(F.col("ratio"), 4))
     body = words.select("region_id", "rank", line.alias("value"))
     regions = words.select("region_id", "region_name").distinct()
     edges = regions.select("region_id", F.explode(F.array(
