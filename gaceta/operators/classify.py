@@ -69,24 +69,22 @@ def assign_region(
     characters of the body times ``body_weight``.
     """
     names, ids = params.scored, params.ids
-    ahead = F.array_position("_scores", F.col("_best"))
-    behind = F.array_position(F.reverse("_scores"), F.col("_best"))
+    best = F.array_max("_scores")
+    ahead = F.array_position("_scores", best)
+    behind = F.array_position(F.reverse("_scores"), best)
     # First place from either end is the same place only if no other score ties.
-    alone = (F.col("_best") > 0) & (ahead + behind == len(names) + 1)
+    alone = (best > 0) & (ahead + behind == len(names) + 1)
     place = F.when(alone, ahead.cast("int")).otherwise(len(names) + 1)
     labels = [*names, params.default_label]
-    id_list = F.array(*[F.lit(ids[n]) for n in labels])
-    name_list = F.array(*[F.lit(n) for n in labels])
     start = F.substring(body, 1, params.body_prefix)
+    weighted = weighted_text(
+        mentions(fold(F.col(title)), params), mentions(fold(start), params), params)
     return (
-        df.withColumn("_text", weighted_text(
-            mentions(fold(F.col(title)), params), mentions(fold(start), params), params))
+        df.withColumn("_text", weighted)
         .withColumn("_scores", region_scores(F.col("_text"), params))
-        .withColumn("_best", F.array_max("_scores"))
-        .withColumn("_place", place)
         .withColumns({
-            "region_id": F.element_at(id_list, F.col("_place")),
-            "region_name": F.element_at(name_list, F.col("_place")),
+            "region_id": F.element_at(F.array(*[F.lit(ids[n]) for n in labels]), place),
+            "region_name": F.element_at(F.array(*[F.lit(n) for n in labels]), place),
         })
-        .drop("_text", "_scores", "_best", "_place")
+        .drop("_text", "_scores")
     )
