@@ -57,7 +57,7 @@ def run_etl(
 
     report = checks.check_warehouse(
         house.fact(spark), *[house.read(spark, f"dim_{d}") for d in ("date", "source", "region")],
-        raw_rows=metrics,
+        raw_rows=metrics, partitions=house.fact_partitions(spark),
     )
     report.coalesce(1).write.mode("overwrite").parquet(house.path("checks"))
     report = house.read(spark, "checks")

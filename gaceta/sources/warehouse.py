@@ -32,6 +32,11 @@ class Warehouse:
         fact = spark.read.schema(schema).parquet(self.path("fact_news"))
         return fact.where(F.col("year").between(*years)) if years else fact
 
+    def fact_partitions(self, spark: SparkSession) -> DataFrame:
+        """(year, month) of the fact files on disk: one row per file, no file is opened."""
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        return files.load(self.path("fact_news")).select("year", "month")
+
 
 def write_dimension(dim: DataFrame, path: str, order: str) -> None:
     """Replace a dimension table, sorted by ``order``."""

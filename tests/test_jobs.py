@@ -10,7 +10,7 @@ from gaceta.operators import checks
 from gaceta.plans import analytics, etl
 from gaceta.schema import FACT_SCHEMA
 from gaceta.sources.articles import scan_articles
-from gaceta.sources.warehouse import CountStore, Warehouse
+from gaceta.sources.warehouse import CountStore, Warehouse, write_fact
 from tests.conftest import SF
 
 HEADER = "article_id,publish_date,source,title,body,extra"
@@ -185,6 +185,29 @@ def test_unfinished_counts_are_not_used(spark, tmp_path):
     assert store.current() == run and store.read(run, "terms").count() == 3
 
 
+def test_partitions_on_disk(spark, built):
+    _, result, _ = built
+    months = lambda df: sorted(map(tuple, df.select("year", "month").distinct().collect()))
+    house = result.warehouse
+    assert months(house.fact_partitions(spark)) == months(house.fact(spark))
+
+
+def test_hot_month_is_cut_into_files(spark, tmp_path):
+    fact = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").cast("string").alias("article_id"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
+        F.lit(2024).alias("year"), F.when(F.col("id") % 50 == 0, 2).otherwise(1).alias("month"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "500k")
+    try:
+        write_fact(fact, str(tmp_path / "fact"))
+    finally:
+        spark.conf.set(name, before)
+    files = lambda month: glob.glob(f"{tmp_path}/fact/year=2024/month={month}/*.parquet")
+    assert len(files("01")) > 3 and len(files("02")) == 1
+    assert spark.read.parquet(str(tmp_path / "fact")).count() == 40_000
+
+
 def test_years_prune_partitions(spark, built):
     _, result, _ = built
     scan = result.warehouse.fact(spark, (2023, 2023)).select("article_id")
