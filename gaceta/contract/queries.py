@@ -32,9 +32,8 @@ def _dims(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    raw = article_view(spark, sf_dir)
-    dates, sources = _dims(raw)
-    return build_fact(raw, dates, sources, PARAMS), dates, sources
+    dates, sources = _dims(article_view(spark, sf_dir, texts=False))
+    return build_fact(article_view(spark, sf_dir), dates, sources, PARAMS), dates, sources
 
 
 # --- scans and rejection ---
@@ -227,9 +226,10 @@ def dist_global(spark, sf_dir):
 
 
 def _kl(spark, sf_dir) -> DataFrame:
-    raw = article_view(spark, sf_dir)
-    sources = session.materialize(keys.dim_source(keys.source_keys(raw)))
-    articles = clean.clean_articles(raw).withColumn("source", F.lower("source"))
+    keys_only = article_view(spark, sf_dir, texts=False)
+    sources = session.materialize(keys.dim_source(keys.source_keys(keys_only)))
+    articles = clean.clean_articles(article_view(spark, sf_dir))
+    articles = articles.withColumn("source", F.lower("source"))
     keyed = keys.lookup_ids(articles, sources, "source", "source_id")
     by_source = session.materialize(counts.count_terms(keyed, counts.SOURCE, PARAMS.tokens))
     return analysis.kl_by_source(by_source, counts.resum(by_source, []), sources, PARAMS.query)
@@ -301,22 +301,26 @@ def peaks_articles(spark, sf_dir):
 
 # --- checks, each with a fault put in ---
 
-def _fact_keys(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Materialised key columns of the fact table, for checks that read them repeatedly."""
-    fact, dates, sources = _fact(spark, sf_dir)
-    narrow = fact.select("article_id", "date_id", "source_id", "region_id", "year", "month")
-    return session.materialize(narrow), dates, sources
+def _fact_keys(spark, sf_dir, *columns: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Materialised key columns of the fact table, for checks that read them repeatedly.
+
+    Without ``region_id`` among them no text is read.
+    """
+    raw = article_view(spark, sf_dir, texts="region_id" in columns)
+    dates, sources = _dims(article_view(spark, sf_dir, texts=False))
+    fact = build_fact(raw, dates, sources, PARAMS)
+    return session.materialize(fact.select(*columns)), dates, sources
 
 
 def check_referential(spark, sf_dir):
-    fact, dates, sources = _fact_keys(spark, sf_dir)
+    fact, dates, sources = _fact_keys(spark, sf_dir, "date_id", "source_id", "region_id")
     lacking = dates.where("fecha <> '2023-01-02'")
     report = checks.check_referential(fact, lacking, sources, keys.dim_region(spark, PARAMS.regions))
     return report.drop("detail")
 
 
 def check_rowcount(spark, sf_dir):
-    fact, _, _ = _fact_keys(spark, sf_dir)
+    fact, _, _ = _fact_keys(spark, sf_dir, "article_id")
     raw = article_view(spark, sf_dir, texts=False).agg(F.count(F.lit(1)).alias("raw_rows"))
     short = fact.agg((F.count(F.lit(1)) - 3).alias("raw_rows"))
     variants = {"raw": raw, "short": short}
@@ -327,7 +331,7 @@ def check_rowcount(spark, sf_dir):
 
 
 def check_pk(spark, sf_dir):
-    fact, dates, sources = _fact_keys(spark, sf_dir)
+    fact, dates, sources = _fact_keys(spark, sf_dir, "region_id")
     doubled = dates.unionByName(dates.where("mes = 2"))
     regions = keys.dim_region(spark, PARAMS.regions).where("region_id = 17").select("region_id")
     return reduce(DataFrame.unionByName, [
@@ -339,13 +343,13 @@ def check_pk(spark, sf_dir):
 
 
 def check_partitions(spark, sf_dir):
-    fact, dates, _ = _fact_keys(spark, sf_dir)
+    fact, dates, _ = _fact_keys(spark, sf_dir, "date_id", "year", "month")
     present = fact.where("not (year = 2023 and month = 1)")
     return checks.check_partitions(fact, dates, present).drop("detail")
 
 
 def check_unique_articles(spark, sf_dir):
-    fact, _, _ = _fact_keys(spark, sf_dir)
+    fact, _, _ = _fact_keys(spark, sf_dir, "article_id", "month")
     doubled = fact.unionByName(fact.where("month = 1"))
     return checks.check_unique_articles(doubled).drop("detail")
 

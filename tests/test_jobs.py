@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gaceta import session
 from gaceta.contract.articles import article_view
 from gaceta.operators import checks
+from gaceta.params import Params
 from gaceta.plans import analytics, etl
 from gaceta.schema import FACT_SCHEMA
 from gaceta.sources.articles import scan_articles
@@ -138,6 +139,20 @@ def test_untouched_months_stay(spark, built, tmp_path):
     assert ids() == ["9"]
 
 
+def test_dates_by_day_or_as_written(spark, tmp_path):
+    lines = [HEADER, "1,2023-01-05,A,sol,mar,", "2,2023-1-5,A,sol,mar,", "3, 2023-01-05,a,sol,mar,"]
+    path = write(tmp_path / "one.csv", "\n".join(lines) + "\n")
+    days = {}
+    for canonical in (True, False):
+        house = str(tmp_path / f"wh-{canonical}")
+        params = Params(canonical_dates=canonical)
+        _, results = analytics.run_all(spark, path, house, params=params)
+        days[canonical] = sorted((r["fecha"], r["n"]) for r in results.series.collect())
+        assert results.kl.first()["source"] == "a"
+    assert days[True] == [("2023-01-05", 3)]
+    assert days[False] == [(" 2023-01-05", 1), ("2023-01-05", 1), ("2023-1-5", 1)]
+
+
 def test_results_and_reports(spark, built):
     base, _, results = built
     text = lambda name: [
