@@ -14,7 +14,8 @@ PLACES = ("Valparaíso", "Región de Los Ríos", "Ñuble y Temuco", "O'Higgins",
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents, dealt out to all cores while the table is small."""
-    return session.spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    path = f"{sf_dir}/documents.parquet"
+    return session.spread_small(spark.read.parquet(path), path)
 
 
 def article_view(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:

@@ -62,21 +62,25 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small(scan: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, bytes) of the files under ``path``, one row each; none is opened."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+
+
+def spread_small(scan: DataFrame, path: str, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
     """Deal the rows of a small file scan out to all cores; leave any other scan alone.
 
     A small file may be a single row group, which is one task however many cores are idle.
-    Only inputs of fewer files than cores are looked at, and their size comes from the file
-    listing. A large scan has splits enough and is not moved.
+    Number and size of the files come from the listing. A large scan, or one of many files,
+    has tasks enough and is not moved.
     """
     spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    files = scan.inputFiles()
-    if not 0 < len(files) < cores:
-        return scan
-    listing = spark.read.format("binaryFile").load(files).select("length")
-    size = listing.agg(F.sum("length").alias("bytes")).first()["bytes"]
-    return scan.repartition(cores) if size <= limit else scan
+    listed = list_files(spark, path).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
+    small = listed["files"] < cores and (listed["bytes"] or 0) <= limit
+    return scan.repartition(cores) if small else scan
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,11 +26,6 @@ def _field_count(line: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
 
 
-def _one_slash(path: Column) -> Column:
-    # file:///x and file:/x are the same file.
-    return F.regexp_replace(path, "^file:/+", "file:/")
-
-
 def scan_articles(
     spark: SparkSession, path: str | list[str], multi_line: bool = True,
     na_tokens: tuple[str, ...] = NA_TOKENS, order_column: str | None = None,
@@ -61,26 +55,30 @@ def scan_articles(
         *RAW_COLUMNS,
         over_long.alias("_over_long"),
         *([F.col(order_column).cast("long").alias("_seq")] if order_column else [
-            _one_slash(F.col("_metadata.file_path")).alias("_file"),
+            F.col("_metadata.file_path").alias("_file"),
             (F.col("_metadata.file_block_start")
              + F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))).alias("_offset"),
         ]),
     )
     if not order_column:
-        rows = _number_files(rows, scan.inputFiles())
+        rows = _number_files(rows, path)
     return null_na_tokens(rows, list(RAW_COLUMNS), na_tokens)
 
 
-def _number_files(rows: DataFrame, files: list[str]) -> DataFrame:
-    """``_seq`` from ``_file`` and ``_offset``; the file list is what the scan itself lists."""
-    if len(files) >= 1 << (63 - _OFFSET_BITS):
+def _number_files(rows: DataFrame, path: str | list[str]) -> DataFrame:
+    """``_seq`` from ``_file`` and ``_offset``: files are numbered in order of their names.
+
+    The numbering window has no partition; it runs over file names, fewer than 2**20.
+    """
+    files = session.list_files(rows.sparkSession, path)
+    count = files.count()
+    if count >= 1 << (63 - _OFFSET_BITS):
         raise ValueError("too many article files to number; merge them or give order_column")
-    if len(files) <= 1:
+    if count <= 1:
         return rows.withColumn("_seq", F.col("_offset")).drop("_file", "_offset")
-    spark = rows.sparkSession
-    order = sorted(re.sub("^file:/+", "file:/", f) for f in files)
-    numbers = spark.createDataFrame(
-        [(name, i) for i, name in enumerate(order)], "_file string, _number long")
+    number = (F.row_number().over(W.orderBy("_file")) - 1).cast("long")
+    numbers = session.materialize(
+        files.select(F.col("file").alias("_file")).withColumn("_number", number))
     seq = F.shiftleft("_number", _OFFSET_BITS) + F.col("_offset")
     return session.lookup_join(rows, numbers, "_file", spread="_offset", how="inner").withColumn(
         "_seq", seq).drop("_file", "_offset", "_number")

@@ -250,7 +250,8 @@ def test_each_check_sees_its_fault(spark):
 
 
 def test_only_small_scans_are_spread(spark):
-    scan = spark.read.parquet(f"{SF}/documents.parquet")
+    path = f"{SF}/documents.parquet"
+    scan = spark.read.parquet(path)
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition 8" in plan(session.spread_small(scan))
-    assert "Repartition" not in plan(session.spread_small(scan, limit=1000))
+    assert "Repartition 8" in plan(session.spread_small(scan, path))
+    assert "Repartition" not in plan(session.spread_small(scan, path, limit=1000))
