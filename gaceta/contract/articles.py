@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaceta import session
-from gaceta.schema import RAW_COLUMNS
 
 # doc_id % 6 -> place named in the title (none for 5).
 PLACES = ("Valparaíso", "Región de Los Ríos", "Ñuble y Temuco", "O'Higgins", "Santiago")

@@ -60,7 +60,7 @@ def parse_dates(spark, sf_dir):
 
 
 def etl_metrics(spark, sf_dir):
-    return clean.rejection_counts(article_view(spark, sf_dir, texts=False)).drop("malformed")
+    return clean.rejection_counts(article_view(spark, sf_dir, texts=False)).drop("malformed", "padded")
 
 
 # --- dimensions and keys ---

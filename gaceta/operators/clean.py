@@ -72,18 +72,24 @@ def clean_articles(raw: DataFrame) -> DataFrame:
     return parse_dates(keep_first(reject_null_keys(raw)))
 
 
-def rejection_counts(raw: DataFrame, malformed: str | None = None) -> DataFrame:
+def rejection_counts(
+    raw: DataFrame, malformed: str | None = None, padded: str | None = None,
+) -> DataFrame:
     """One row of counters; raw = written + the four reasons for leaving a row out.
 
+    ``malformed`` and ``padded`` name flag columns; padded lines count as any other row and
+    are reported on the side.
     Grouping by article id and keeping only whether the first copy's date can be read
     gives the result of the whole rejection without touching the text.
     """
-    bad_line = F.col(malformed) if malformed else F.lit(False)
+    flag = lambda name: F.col(name) if name else F.lit(False)
+    bad_line = flag(malformed)
     usable = ~bad_line & F.col("article_id").isNotNull() & F.col("publish_date").isNotNull()
     per_article = (
         raw.select(
             F.when(usable, F.col("article_id")).alias("_id"),
             bad_line.alias("_bad_line"),
+            flag(padded).alias("_padded"),
             dates.parse_day(F.col("publish_date")).isNotNull().alias("_dated"),
             "_seq",
         )
@@ -91,6 +97,7 @@ def rejection_counts(raw: DataFrame, malformed: str | None = None) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.count_if("_bad_line").alias("_bad_lines"),
+            F.count_if("_padded").alias("_padded"),
             F.min_by("_dated", "_seq").alias("_dated"),
         )
     )
@@ -103,4 +110,5 @@ def rejection_counts(raw: DataFrame, malformed: str | None = None) -> DataFrame:
         total(F.when(kept, F.col("_rows") - 1)).alias("skipped_dup"),
         F.count_if(kept & ~F.col("_dated")).alias("bad_date"),
         F.count_if(kept & F.col("_dated")).alias("written"),
+        total("_padded").alias("padded"),
     )

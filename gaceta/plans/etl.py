@@ -51,7 +51,7 @@ def run_etl(
     fact = build_fact(usable, house.read(spark, "dim_date"), house.read(spark, "dim_source"), params)
     write_fact(fact, house.path("fact_news"), overwrite)
 
-    metrics = clean.rejection_counts(landed, "_over_long")
+    metrics = clean.rejection_counts(landed, "_over_long", "_padded")
     metrics.write.mode("overwrite").parquet(house.path("etl_metrics"))
     metrics = house.read(spark, "etl_metrics")
 

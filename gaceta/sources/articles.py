@@ -30,10 +30,10 @@ def scan_articles(
     spark: SparkSession, path: str | list[str], multi_line: bool = True,
     na_tokens: tuple[str, ...] = NA_TOKENS, order_column: str | None = None,
 ) -> DataFrame:
-    """Read article CSVs as text columns plus ``_seq`` and ``_over_long``.
+    """Read article CSVs as text columns plus ``_seq``, ``_over_long`` and ``_padded``.
 
     The header names the columns; those the warehouse does not use are ignored. A line
-    with too few fields is padded with nulls, one with too many is flagged ``_over_long``.
+    with too few fields is padded with nulls and flagged, one with too many is only flagged.
     ``_seq`` grows with file name and place in the file, or is ``order_column`` as a long.
 
     Quoted line breaks need ``multi_line``, which reads each file in one task: supply
@@ -50,10 +50,11 @@ def scan_articles(
         path, schema=T.StructType(fields), header=True, enforceSchema=False, escape='"',
         multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT,
     )
-    over_long = F.coalesce(_field_count(F.col(_CORRUPT)) > len(names), F.lit(False))
+    fields_found = F.coalesce(_field_count(F.col(_CORRUPT)), F.lit(len(names)))
     rows = scan.select(
         *RAW_COLUMNS,
-        over_long.alias("_over_long"),
+        (fields_found > len(names)).alias("_over_long"),
+        (fields_found < len(names)).alias("_padded"),
         *([F.col(order_column).cast("long").alias("_seq")] if order_column else [
             F.col("_metadata.file_path").alias("_file"),
             (F.col("_metadata.file_block_start")

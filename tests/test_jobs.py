@@ -39,6 +39,7 @@ def test_csv_edges(spark, tmp_path, bom, multi_line):
     rows = scan_articles(spark, path, multi_line=multi_line).orderBy("_seq").collect()
     assert [r["article_id"] for r in rows] == list("1234567")
     assert [r["article_id"] for r in rows if r["_over_long"]] == ["2", "5", "6"]
+    assert [r["article_id"] for r in rows if r["_padded"]] == ["3"]
     assert tuple(rows[0])[:5] == ("1", "2023-01-01", "A", 't "x" y', "one, two")
     assert tuple(rows[2])[:5] == ("3", "2023-01-03", None, None, None)
     assert tuple(rows[3])[:5] == ("4", "2023-01-04", None, None, None)
@@ -102,7 +103,7 @@ def test_etl_writes_the_star_schema(spark, built):
     assert glob.glob(f"{base}/wh/fact_news/year=2023/month=01/*.parquet")
     metrics = result.metrics.first().asDict()
     assert metrics["raw_rows"] == 200 and metrics["written"] == fact.count()
-    assert metrics["raw_rows"] == sum(v for k, v in metrics.items() if k != "raw_rows")
+    assert metrics["raw_rows"] == sum(v for k, v in metrics.items() if k not in ("raw_rows", "padded"))
     report = {r["check"]: r for r in result.checks.collect()}
     assert len(report) == 7
     # Articles without a source are orphans of dim_source, and only they fail.
@@ -153,6 +154,16 @@ def test_dates_by_day_or_as_written(spark, tmp_path):
     assert days[False] == [(" 2023-01-05", 1), ("2023-01-05", 1), ("2023-1-5", 1)]
 
 
+def test_malformed_and_padded_lines_are_counted(spark, tmp_path):
+    lines = [HEADER, "1,2023-01-05,A,t,b,", "2,2023-01-05,A,t,b,,x", "3,2023-01-05", ",2023-01-05,A,t,b,"]
+    path = write(tmp_path / "one.csv", "\n".join(lines) + "\n")
+    metrics = etl.run_etl(spark, path, str(tmp_path / "wh")).metrics.first().asDict()
+    assert metrics == {
+        "raw_rows": 4, "malformed": 1, "skipped_null": 1, "skipped_dup": 0, "bad_date": 0,
+        "written": 2, "padded": 1,
+    }
+
+
 def test_results_and_reports(spark, built):
     base, _, results = built
     text = lambda name: [
