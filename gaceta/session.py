@@ -87,24 +87,25 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (materialise it first) and say whether it may be broadcast."""
     size = F.lit(_ROW_OVERHEAD)
     for name, kind in df.dtypes:
-        size = size + (F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(8))
+        size = size + (F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
     total = df.agg(F.sum(size.cast("long")).alias("bytes")).first()["bytes"]
     return (total or 0) <= limit
 
 
 def lookup_join(
-    rows: DataFrame, small: DataFrame, on: str, spread: str, how: str = "left",
+    rows: DataFrame, small: DataFrame, on: str | list[str], spread: str | Column, how: str = "left",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join wide rows to a materialised lookup table.
 
     Within the byte limit the lookup side is broadcast, so the rows stay where they are.
     Beyond it the join shuffles with each key split over SALTS pieces by ``spread`` (a
-    column that differs from row to row), so a hot or null key does not land in one task.
+    value that differs from row to row), so a hot or null key does not land in one task.
     """
     if fits_broadcast(small, limit):
         return rows.join(F.broadcast(small), on, how)
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     copies = small.withColumn("_salt", F.explode(salts))
     salt: Column = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    return rows.withColumn("_salt", salt).join(copies, [on, "_salt"], how).drop("_salt")
+    keys = [on] if isinstance(on, str) else on
+    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")

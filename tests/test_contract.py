@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from gaceta.contract import oracle, queries
 from tests.conftest import SF
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def duck():
 
 def test_every_query_has_a_twin():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
 
 
 def test_entry(spark):
