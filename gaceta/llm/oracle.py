@@ -63,6 +63,17 @@ select page_id, host, path, {_rules_sql(0, params)} as rule,
 from urls join bounds using (host)"""
 
 
+def op7_exact_dedup() -> str:
+    return """
+with texts as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') as t
+  from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+  doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256
+from texts window w as (partition by t)"""
+
+
 def op9_mix_sources(params: MixParams = MixParams()) -> str:
     return f"""
 with recursive sizes as (
@@ -141,4 +152,4 @@ from judged join bounds using (host)"""
 
 def oracle_sql() -> dict[str, str]:
     return {f.__name__: f() for f in (
-        op2_url_filters, op9_mix_sources, op10_host_rules)}
+        op2_url_filters, op7_exact_dedup, op9_mix_sources, op10_host_rules)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta.llm import host_rules, mixing, url_reputation
+from gaceta.llm import columns, host_rules, mixing, radix_dedup, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = columns.ascii_lower(F.coalesce("text", F.lit("")))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.sha2(text.cast("binary"), 256).alias("text_sha256"))
+    return radix_dedup.exact_duplicates(docs).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -31,4 +39,4 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_url_filters, op9_mix_sources, op10_host_rules)}
+        op2_url_filters, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
