@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -87,7 +88,9 @@ class Encoder:
         self.pieces = regex.compile(PIECES)
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        # Pieces of late, and those before them: pieces in use outlive a change of caches.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _mergeable_tokens(self) -> set[int]:
         """Tokens that merging their own bytes ends in; others never come out."""
@@ -137,39 +140,39 @@ class Encoder:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         text = piece.decode("latin-1")
-        # Tokens that start at each place, longest first.
-        starts: list[list[tuple[int, int]]] = [[] for _ in text]
+        # Ends and ids of the tokens that start at each place.
+        size = len(text)
+        starts: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
         for end, (length, token) in self.automaton.iter(text):
-            starts[end - length + 1].append((length, token))
-        for found in starts:
-            found.sort(reverse=True)
+            starts[end - length + 1].append((end + 1, token))  # the longest comes last
         out: list[int] = []
-        at, choice = 0, [0]  # choice: which of the tokens at each place on the path is tried
-        places, dead = [0], bytearray(len(text) + 1)
-        while at < len(text):
-            found, i = starts[at], choice[-1]
-            while i < len(found):
-                length, token = found[i]
-                i += 1
-                if not dead[at + length] and (not out or self.pair_fits(out[-1], token)):
-                    choice[-1] = i
+        path: list[tuple[int, list]] = []  # for each token: where it starts, what is left there
+        known, fits = self.compatible.get, self.pair_fits
+        dead = bytearray(size + 1)
+        at, untried, before = 0, starts[0], None
+        while at < size:
+            while untried:
+                end, token = untried.pop()
+                if not dead[end] and (
+                        before is None or known((before, token)) or fits(before, token)):
                     out.append(token)
-                    at += length
-                    places.append(at)
-                    choice.append(0)
+                    path.append((at, untried))
+                    at, untried, before = end, starts[end].copy(), token
                     break
             else:
                 dead[at] = 1
-                places.pop()
-                choice.pop()
+                at, untried = path.pop()
                 out.pop()
-                at = places[-1]
+                before = out[-1] if out else None
         return out
 
     def _piece_ids(self, piece: str) -> bytes:
-        ids = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+        ids = self.cache.get(piece) or self.older.get(piece)
+        if ids is None:
+            found = self.encode_piece(piece.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(self.cache) >= REMEMBERED:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         self.cache[piece] = ids
         return ids
 

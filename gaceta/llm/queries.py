@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta.llm import columns, host_rules, mixing, radix_dedup, url_reputation
+from gaceta.llm import bpe, columns, host_rules, mixing, radix_dedup, simhash, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,23 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def tokenizer_file() -> str:
+    """Path of the vocabulary that the encoding query and the pipeline use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.NARROW)
+    digits = F.lpad(F.lower(F.hex("f0")), 16, "0")
+    return linked.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = columns.ascii_lower(F.coalesce("text", F.lit("")))
     docs = table(spark, sf_dir, "documents").select(
@@ -39,4 +56,4 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_url_filters, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
+        op2_url_filters, op3_bpe, op5_simhash, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
