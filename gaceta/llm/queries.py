@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta.llm import bpe, columns, host_rules, mixing, radix_dedup, simhash, url_reputation
+from gaceta.llm import bpe, columns, host_rules, mixing, quality, radix_dedup, simhash, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The classifier as the query and the pipeline fit it: not on rows of remainder 2."""
+    learnable = columns.remainder(F.col("doc_id"), 4) != 2
+    return quality.fit(docs, table(spark, sf_dir, "labels"), learnable)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    params = quality.QualityParams()
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), params)
+    return scored.select(
+        "doc_id", (columns.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= params.threshold).cast("int").alias("predicted"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on every page url; a page is bad where the label of its id says quality 0."""
     outcomes = table(spark, sf_dir, "labels").select(
@@ -56,4 +71,4 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_url_filters, op3_bpe, op5_simhash, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
+        op1_quality, op2_url_filters, op3_bpe, op5_simhash, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
