@@ -19,6 +19,10 @@ from gaceta import session
 from gaceta.llm import columns
 
 
+KEYS = ["gid", "len", "digit"]
+OWN = ("keep_id", "group_size", "kept")
+
+
 @dataclass(frozen=True)
 class RadixParams:
     # Bytes of the first digit, and by how much each next one is longer.
@@ -58,19 +62,16 @@ def _finish_in_task(digit: int, growth: int):
     Rows of a group arrive together, so only the last group of a batch waits for the next.
     """
     def judge(rows: pa.Table) -> pa.Table:
-        ids = rows.column("row").combine_chunks().field("id").to_pylist()
+        ids = rows.column("id").to_pylist()
         texts = [t.lower() for t in rows.column("bytes").to_pylist()]
         keep, size, kept = [None] * len(ids), [1] * len(ids), [True] * len(ids)
         for group in split_groups(texts, digit, growth):
             best = max(group, key=lambda i: (ids[i] is not None, ids[i] or 0))
             for i in group:
                 keep[i], size[i], kept[i] = ids[best], len(group), i == best
-        return pa.table({
-            "row": rows.column("row"),
-            "keep_id": pa.array(keep, pa.int64()),
-            "group_size": pa.array(size, pa.int64()),
-            "kept": pa.array(kept, pa.bool_()),
-        })
+        own = [pa.array(keep, pa.int64()), pa.array(size, pa.int64()), pa.array(kept, pa.bool_())]
+        inputs = [c for c in rows.column_names if c.startswith("in_")]
+        return pa.table([*[rows.column(c) for c in inputs], *own], names=[*inputs, *OWN])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -96,13 +97,9 @@ def _finish_in_task(digit: int, growth: int):
     return run
 
 
-KEYS = ["gid", "len", "digit"]
-OWN = ("keep_id", "group_size", "kept")
-
-
-def _with_digit(rows: DataFrame, at: int, width: int) -> DataFrame:
-    text = columns.ascii_lower(F.col("row.text")).cast("binary")
-    return rows.withColumn("digit", F.substring(text, at + 1, width))
+def _with_digit(rows: DataFrame, text: Column, at: int, width: int) -> DataFrame:
+    lowered = columns.ascii_lower(F.coalesce(text, F.lit(""))).cast("binary")
+    return rows.withColumn("digit", F.substring(lowered, at + 1, width))
 
 
 def _groups(rows: DataFrame, *more: Column) -> DataFrame:
@@ -118,14 +115,15 @@ def _hot(groups: DataFrame, params: RadixParams) -> Column:
         (F.col("n") >= params.hot_rows) & (F.col("n") >= rows / params.hot_groups))
 
 
-def _in_tasks(part: DataFrame, params: RadixParams) -> DataFrame:
+def _in_tasks(part: DataFrame, inputs: list[str], text: Column, params: RadixParams) -> DataFrame:
     """Every group whole in one task, where it is split to the end."""
     schema = T.StructType([
-        T.StructField("row", part.schema["row"].dataType), T.StructField("keep_id", T.LongType()),
-        T.StructField("group_size", T.LongType()), T.StructField("kept", T.BooleanType())])
-    placed = part.select("row", *KEYS).repartition(*KEYS).sortWithinPartitions(*KEYS)
-    bytes_ = F.col("row.text").cast("binary").alias("bytes")
-    return placed.select("row", *KEYS, bytes_).mapInArrow(
+        *[T.StructField(c, part.schema[c].dataType) for c in inputs],
+        T.StructField("keep_id", T.LongType()), T.StructField("group_size", T.LongType()),
+        T.StructField("kept", T.BooleanType())])
+    placed = part.select(*inputs, "id", *KEYS).repartition(*KEYS).sortWithinPartitions(*KEYS)
+    bytes_ = F.coalesce(text, F.lit("")).cast("binary").alias("bytes")
+    return placed.select("*", bytes_).mapInArrow(
         _finish_in_task(params.digit, params.growth), schema)
 
 
@@ -143,31 +141,32 @@ def exact_duplicates(docs: DataFrame, params: RadixParams = RadixParams()) -> Da
     digit: partial aggregation counts a digit, and only the counts of groups move.
     """
     names = [c for c in docs.columns if c not in OWN]
-    inner = F.struct(
-        F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"),
-        F.struct(*[F.col(c) for c in names if c != "text"],
-                 F.col("text").isNull().alias("text")).alias("rest"))
+    # Inside, input columns go by number, so their names cannot clash with anything.
+    inputs = [f"in_{i}" for i in range(len(names))]
+    text = F.col(inputs[names.index("text")])
     rows = _with_digit(
-        docs.select(inner.alias("row"), F.lit(0).cast("long").alias("gid"))
-        .withColumn("len", F.octet_length("row.text").cast("long")), 0, params.digit)
+        docs.select(*[F.col(c).alias(i) for c, i in zip(names, inputs)],
+                    F.col("doc_id").cast("long").alias("id"), F.lit(0).cast("long").alias("gid"),
+                    F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("len")),
+        text, 0, params.digit)
     repeated = session.materialize(_groups(rows).where("n > 1"))
     hot = _hot(repeated, params)
+    in_tasks = lambda part: _in_tasks(part, inputs, text, params)
     results = []
     if session.fits_broadcast(repeated, params.broadcast_bytes):
         # Few groups: rows alone in theirs are told on the spot and stay where they are.
         small = repeated.select(*KEYS, hot.alias("hot"), "next_gid")
         marked = rows.join(F.broadcast(small), KEYS, "left")
         results.append(marked.where("hot is null").select(
-            "row", F.col("row.id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+            *inputs, F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept")))
-        results.append(_in_tasks(marked.where("not hot"), params))
+        results.append(in_tasks(marked.where("not hot")))
     else:
         # Many groups: all rows but the hot ones move once.
         large = session.materialize(
             repeated.where(hot).select(*KEYS, F.lit(True).alias("hot"), "next_gid"))
-        marked = session.lookup_join(
-            rows, large, KEYS, F.col("row.id"), limit=params.broadcast_bytes)
-        results.append(_in_tasks(marked.where("hot is null"), params))
+        marked = session.lookup_join(rows, large, KEYS, F.col("id"), limit=params.broadcast_bytes)
+        results.append(in_tasks(marked.where("hot is null")))
     live = marked.where("hot") if repeated.where(hot).head(1) else None
 
     at, width = params.digit, params.digit
@@ -175,22 +174,21 @@ def exact_duplicates(docs: DataFrame, params: RadixParams = RadixParams()) -> Da
         width = min(width * params.growth, params.longest_digit)
         # Written with row numbers, so that of rows with one id exactly one can be named.
         live = _with_digit(session.materialize(live.select(
-            "row", "len", F.col("next_gid").alias("gid"),
-            F.monotonically_increasing_id().alias("uid"))), at, width)
-        groups = session.materialize(_groups(live, F.max(F.struct("row.id", "uid")).alias("best")))
+            *inputs, "id", "len", F.col("next_gid").alias("gid"),
+            F.monotonically_increasing_id().alias("uid"))), text, at, width)
+        groups = session.materialize(_groups(live, F.max(F.struct("id", "uid")).alias("best")))
         large = session.materialize(groups.where(_hot(groups, params)).select(
-            *KEYS, "n", "best", "next_gid", (F.col("len") <= at + width).alias("ended")))
+            *KEYS, "n", F.col("best.id").alias("best_id"), F.col("best.uid").alias("best_uid"),
+            "next_gid", (F.col("len") <= at + width).alias("ended")))
         marked = session.lookup_join(live, large, KEYS, "uid", limit=params.broadcast_bytes)
         results.append(marked.where("ended").select(
-            "row", F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"),
-            (F.col("uid") == F.col("best.uid")).alias("kept")))
-        results.append(_in_tasks(marked.where("ended is null"), params))
+            *inputs, F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"),
+            (F.col("uid") == F.col("best_uid")).alias("kept")))
+        results.append(in_tasks(marked.where("ended is null")))
         at += width
         live = marked.where("not ended") if large.where("not ended").head(1) else None
 
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)
-    text = F.when(~F.col("row.rest.text"), F.col("row.text")).alias("text")
-    fields = [text if c == "text" else F.col("row.rest").getField(c).alias(c) for c in names]
-    return out.select(*fields, *OWN)
+    return out.select(*[F.col(i).alias(c) for c, i in zip(names, inputs)], *OWN)
