@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta.llm import bpe, columns, host_rules, mixing, quality, radix_dedup, simhash, url_reputation
+from gaceta.llm import bpe, columns, host_rules, langmix, mixing, pseudonyms, quality, radix_dedup, simhash, toxicity, url_reputation
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,12 +47,25 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs)
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.near_duplicates(table(spark, sf_dir, "documents"), simhash.NARROW)
     digits = F.lpad(F.lower(F.hex("f0")), 16, "0")
     return linked.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from documents whose remainder modulo 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = columns.remainder(F.col("doc_id"), 5)
+    found = langmix.identify(docs, langmix.fit(docs, fold != 0))
+    return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = columns.ascii_lower(F.coalesce("text", F.lit("")))
     docs = table(spark, sf_dir, "documents").select(
@@ -61,6 +74,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -71,4 +89,5 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality, op2_url_filters, op3_bpe, op5_simhash, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
+        op1_quality, op2_url_filters, op3_bpe, op4_pseudonyms, op5_simhash, op6_language,
+        op7_exact_dedup, op8_toxicity, op9_mix_sources, op10_host_rules)}
