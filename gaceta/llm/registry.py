@@ -1,4 +1,4 @@
-"""What the entry file registers for this subpackage."""
+"""What the entry file registers for this subpackage and the pipeline made of it."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gaceta.llm import oracle, queries as registered
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return registered.queries()
+    return registered.queries() | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return oracle.oracle_sql() | ({"pipeline": pipeline} if pipeline else {})
