@@ -41,19 +41,19 @@ hosts as (
     case when address then bare when two then {tail(3)} else {tail(2)} end as domain
   from (select *, regexp_matches(bare, '^[0-9]+([.][0-9]+){{3}}$') or starts_with(bare, '[')
           as address, {tail(2)} in ({two}) as two from counted)),
-suffixes as (select suffix, sum(n) as n, sum(k) as k from hosts group by suffix),
-domains as (select suffix, domain, sum(n) as n, sum(k) as k from hosts group by suffix, domain),
-suffix_prior as ({moments_sql("suffixes", "n", "k")}),
-domain_prior as ({moments_sql("domains", "n", "k")}),
+suffixes as (select suffix, sum(n) as ns, sum(k) as ks from hosts group by suffix),
+domains as (
+  select suffix, domain, sum(n) as nd, sum(k) as kd from hosts group by suffix, domain),
+suffix_prior as ({moments_sql("suffixes", "ns", "ks", "s_")}),
+domain_prior as ({moments_sql("domains", "nd", "kd", "d_")}),
 host_prior as ({moments_sql("hosts", "n", "k")}),
-suffix_rates as (
-  select suffix, (mean * strength + k) / (strength + n) as rate from suffixes, suffix_prior),
-domain_rates as (
-  select d.suffix, domain, (rate * strength + k) / (strength + n) as rate
-  from domains d join suffix_rates using (suffix), domain_prior),
+rated as (
+  select *, (s_mean * s_strength + ks - kd) / (s_strength + ns - nd) as suffix_rate
+  from hosts join domains using (suffix, domain) join suffixes using (suffix), suffix_prior),
 posterior as (
-  select host, n, strength, (rate * strength + k) / (strength + n) as m
-  from hosts join domain_rates using (suffix, domain), host_prior),
+  select host, n, strength,
+    ((suffix_rate * d_strength + kd - k) / (d_strength + nd - n) * strength + k) / (strength + n) as m
+  from rated, domain_prior, host_prior),
 bounds as (
   select host, m - {params.z} * sqrt(m * (1 - m) / (strength + n + 1)) as bound from posterior)
 select page_id, host, path, {_rules_sql(0, params)} as rule,

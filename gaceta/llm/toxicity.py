@@ -30,8 +30,8 @@ class ToxicityParams:
     train_rows: int = 12000
     buckets: int = 1 << 18
     folds: int = 3
-    # Soft threshold per step of the descent: keeps words without bearing at zero.
-    sparsity: float = 2e-4
+    # L1 penalty, in training rows: how much evidence a word needs to count at all.
+    sparsity: float = 1.0
     steps: int = 60
 
 
@@ -89,7 +89,7 @@ def fit_linear(
         new = ahead - scale * slope
         words = new[:x.buckets]
         new[:x.buckets] = np.sign(words) * np.maximum(
-            np.abs(words) - scale[:x.buckets] * params.sparsity, 0)
+            np.abs(words) - scale[:x.buckets] * params.sparsity / n, 0)
         faster = (1 + np.sqrt(1 + 4 * speed * speed)) / 2
         ahead = new + (speed - 1) / faster * (new - weights)
         weights, speed = new, faster

@@ -74,25 +74,27 @@ def host_bounds(
     """(host, bad_bound) from (host, suffix, domain, n, k): k bad ones among n labelled pages.
 
     The overall rate is the prior of suffixes, a suffix' posterior mean the prior of its
-    domains, a domain's that of its hosts. The strength of each prior comes from the
+    domains, a domain's that of its hosts; a group's own pages are left out of the prior
+    it is judged by, so none counts twice. The strength of each prior comes from the
     spread between the groups of that level. A host without labels gets its domain's rate.
     """
-    prior, parent, level = None, None, hosts
-    for name, keys in (("suffix", ["suffix"]), ("domain", ["suffix", "domain"])):
-        groups = hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-        prior = shrinkage.beta_moments(groups, "n", "k")
-        rated = groups.join(F.broadcast(prior))
-        if parent is not None:
-            rated = rated.join(parent, keys[:-1])
-            mean = F.col("parent_rate")
-        else:
-            mean = F.col("mean")
-        rate = shrinkage.posterior_mean(F.col("n"), F.col("k"), mean, F.col("strength"))
-        parent = rated.select(*keys, rate.alias("parent_rate" if name == "suffix" else "domain_rate"))
-    level = hosts.join(F.broadcast(shrinkage.beta_moments(hosts, "n", "k")))
-    bound = shrinkage.lower_bound(
-        F.col("n"), F.col("k"), F.col("domain_rate"), F.col("strength"), params.z)
-    return level.join(parent, ["suffix", "domain"]).select(
+    def level(keys: list[str], name: str) -> DataFrame:
+        sums = hosts.groupBy(*keys).agg(F.sum("n").alias(f"n_{name}"), F.sum("k").alias(f"k_{name}"))
+        prior = shrinkage.beta_moments(sums, f"n_{name}", f"k_{name}", f"{name}_")
+        return sums.join(F.broadcast(prior))
+
+    n, k = F.col("n"), F.col("k")
+    suffix = shrinkage.posterior_mean(
+        F.col("n_suffix") - F.col("n_domain"), F.col("k_suffix") - F.col("k_domain"),
+        F.col("suffix_mean"), F.col("suffix_strength"))
+    domain = shrinkage.posterior_mean(
+        F.col("n_domain") - n, F.col("k_domain") - k, suffix, F.col("domain_strength"))
+    bound = shrinkage.lower_bound(n, k, domain, F.col("host_strength"), params.z)
+    rated = (
+        hosts.join(level(["suffix", "domain"], "domain"), ["suffix", "domain"])
+        .join(level(["suffix"], "suffix"), "suffix")
+        .join(F.broadcast(shrinkage.beta_moments(hosts, "n", "k", "host_"))))
+    return rated.select(
         "host", F.round(bound, 6).alias("bad_bound"),
         F.when(bound > params.max_bad_rate, BLOCK).otherwise(ALLOW).alias("reputation"))
 
