@@ -73,7 +73,7 @@ def train(
     d = params.dimension
     vectors = rng.uniform(-1 / d, 1 / d, (params.buckets, d))
     output = np.zeros((2, d))
-    shares = [(i, n / n.sum()) for i, n in texts]
+    shares = [(i, (n / n.sum()).astype(np.float32)) for i, n in texts]
     steps, total = 0, params.epochs * len(texts)
     for _ in range(params.epochs):
         for k in rng.permutation(len(texts)):
@@ -118,8 +118,8 @@ def fit(
 ) -> tuple[np.ndarray | None, float]:
     """Bucket weights, and the share of label 1 in the sample (1.0 without labels).
 
-    Only features of the sampled rows come to the driver: at most ``train_rows`` rows of at
-    most ``buckets`` pairs of integers. The weights are None unless both labels occur.
+    One task trains on the sample: at most ``train_rows`` rows of at most ``buckets`` pairs
+    of integers. Only the weights come to the driver. They are None unless both labels occur.
     """
     sample = samples.labelled_texts(
         docs, labels, {"label": (F.col("quality") > 0)}, usable & F.col("quality").isNotNull(),
@@ -130,18 +130,30 @@ def fit(
             found = [text_features(t.as_py(), params) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"),
-                 pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                 pa.array([f[1] for f in found], pa.list_(pa.int32()))],
+                 pa.array([f[0].tobytes() for f in found], pa.binary()),
+                 pa.array([f[1].tobytes() for f in found], pa.binary())],
                 ["doc_id", "label", "buckets", "counts"])
 
-    rows = sample.mapInArrow(
-        features, "doc_id long, label int, buckets array<int>, counts array<int>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    y = rows["label"].to_numpy()
-    if len(set(y)) < 2:
-        return None, float(y[0]) if len(y) else 1.0
-    texts = [(np.asarray(b), np.asarray(c)) for b, c in zip(rows["buckets"], rows["counts"])]
-    return train(texts, y, params), float(y.mean())
+    def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns])]
+        if not rows:
+            return
+        rows.sort()
+        y = np.array([row[1] for row in rows])
+        weights = None
+        if len(set(y.tolist())) == 2:
+            texts = [tuple(np.frombuffer(x, np.int32) for x in row[2:]) for row in rows]
+            weights = train(texts, y, params).tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights], pa.binary()), pa.array([float(y.mean())])], ["weights", "share"])
+
+    model = (
+        sample.mapInArrow(features, "doc_id long, label int, buckets binary, counts binary")
+        .repartition(1).mapInArrow(train_all, "weights binary, share double").first())
+    if model is None:
+        return None, 1.0
+    weights = None if model["weights"] is None else np.frombuffer(model["weights"])
+    return weights, model["share"]
 
 
 def score(
