@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta import session
-
 # doc_id % 6 -> place named in the title (none for 5).
 PLACES = ("Valparaíso", "Región de Los Ríos", "Ñuble y Temuco", "O'Higgins", "Santiago")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt out to all cores while the table is small."""
-    path = f"{sf_dir}/documents.parquet"
-    return session.spread_small(spark.read.parquet(path), path)
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def article_view(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFrame:
+def article_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw articles with missing keys, repeats and bad dates, ``_seq`` being the doc id.
 
-    ``texts=False`` is for queries that read keys only; their scan is cheap as it is.
+    Queries that read keys only do not read the texts: unused columns are pruned.
     """
     doc = F.col("doc_id")
     rest = lambda n: doc % n
@@ -30,8 +26,7 @@ def article_view(spark: SparkSession, sf_dir: str, texts: bool = True) -> DataFr
     day = F.date_format(
         F.date_add(F.lit("2023-01-01").cast("date"), rest(1096).cast("int")), "yyyy-MM-dd")
     copied = F.when(rest(50) == 7, doc - 1).otherwise(doc)
-    docs = documents(spark, sf_dir) if texts else spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.select(
+    return documents(spark, sf_dir).select(
         F.when(rest(97) != 0, copied.cast("string")).alias("article_id"),
         F.when(rest(83) != 0, F.when(rest(89) == 0, "2023-02-30").otherwise(day))
         .alias("publish_date"),

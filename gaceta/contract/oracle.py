@@ -210,7 +210,7 @@ _PK_OUT = " union all ".join(
         ("dim_date", "date_id",
          "(select date_id from dim_date union all select date_id from dim_date where mes = 2)"),
         ("dim_source", "source_id", "dim_source"),
-        ("dim_region", "region_id", "(select region_id from fact union all select 17)")))
+        ("dim_region", "region_id", "(select region_id from dim_region union all select region_id from dim_region where region_id > 15)")))
 
 _PARTITIONS_OUT = _CHECK.format(name="'4-partitions'", v="violations") + """ from (
   select count(*) as violations from (
@@ -223,6 +223,50 @@ _UNIQUE_OUT = _CHECK.format(name="'5-unique-articles'", v="violations") + """ fr
     select article_id from fact union all select article_id from fact where month = 1))"""
 
 
+_TWO_RUNS_OUT = """select article_id, publish_date as fecha, lower(source) as source, year, month from (
+  select *, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
+    row_number() over (partition by coalesce(month(d) <= 6, false), article_id order by _seq) as rn
+  from (select *, cast(try_strptime(trim(publish_date), '%Y-%m-%d') as date) as d from usable))
+where rn = 1 and d is not null"""
+
+# Lines with too many fields drop out before anything else; short ones are only counted.
+_CSV_METRICS_SQL = """
+lines as (select * from articles where _seq % 10 <> 3),
+lusable as (select * from lines where article_id is not null and publish_date is not null),
+lfirsts as (select * from lusable qualify row_number() over (partition by article_id order by _seq) = 1),
+lclean as (select * from lfirsts where try_strptime(trim(publish_date), '%Y-%m-%d') is not null)"""
+
+_CSV_METRICS_OUT = """select
+  (select count(*) from articles) as raw_rows,
+  (select count(*) from articles) - (select count(*) from lines) as malformed,
+  (select count(*) from lines) - (select count(*) from lusable) as skipped_null,
+  (select count(*) from lusable) - (select count(*) from lfirsts) as skipped_dup,
+  (select count(*) from lfirsts) - (select count(*) from lclean) as bad_date,
+  (select count(*) from lclean) as written,
+  (select count(*) from articles where _seq % 10 = 4) as padded"""
+
+_JOB_FILES_OUT = " union all ".join(
+    f"select '{name}' as file, {value} as value from ({rows})" for name, value, rows in (
+        ("top_terms_month", "value", _REPORT_TOP), ("words_region", "value", _REPORT_REGION),
+        ("words_global", "word || ',' || n", "select * from overall"),
+        ("kl_source", "fuente || ',' || kl_divergencia", _REPORT_KL),
+        ("peaks", "fecha || ',' || articulos || ',' || promedio_movil_7d || ',' || factor", _REPORT_PEAKS),
+        ("daily_series", "fecha || ',' || articulos || ',' || promedio_movil_7d || ',' || es_peak",
+         _REPORT_SERIES)))
+
+_LOST = _orphans("source_id", "dim_source")
+_REPORT_OUT = f"""select *, bool_and(passed) over () as all_passed from (
+  select '1-referential' as "check", {_LOST} = 0 as passed, cast({_LOST} as bigint) as violations,
+    case when {_LOST} = 0 then 'every id has its dimension row'
+      else 'facts without a dimension row: date=0, source=' || {_LOST} || ', region=0' end as detail
+  union all select '2-row-count', true, 0,
+    (select count(*) from fact) || ' facts of ' || (select count(*) from articles) || ' rows read'
+  union all select '3-primary-key/dim_' || unnest(['date', 'source', 'region']), true, 0, 'each id once'
+  union all select '4-partitions', true, 0,
+    'months found on disk: ' || (select count(distinct (year, month)) from fact)
+  union all select '5-unique-articles', true, 0, 'each article once')"""
+
+
 def oracle_sql() -> dict[str, str]:
     articles, clean = [ARTICLES_SQL], [ARTICLES_SQL, CLEAN]
     levels = " union all ".join(
@@ -238,6 +282,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_project": with_sql(articles, "select publish_date, lower(source) as source, _seq from articles"),
         "reject_null_keys": with_sql(clean, "select article_id, publish_date, _seq from usable"),
         "dedup_first": with_sql(clean, "select article_id, publish_date, _seq, md5(body) as body_md5 from firsts"),
+        "dedup_shuffled": with_sql(clean, "select article_id, publish_date, _seq, md5(body) as body_md5 from firsts"),
         "parse_dates": with_sql(clean, "select article_id, cast(pub_date as varchar) as pub_date, year, month, _seq from clean"),
         "etl_metrics": with_sql(clean, _METRICS_OUT),
         "first_seen_keys": with_sql(
@@ -266,6 +311,9 @@ def oracle_sql() -> dict[str, str]:
             "select article_id, region_id, region_name from placed join dim_region using (region_id)"),
         "fact_news": with_sql(ETL, _FACT_OUT),
         "etl_csv_roundtrip": with_sql(ETL, _FACT_OUT),
+        "etl_two_runs": with_sql(clean, _TWO_RUNS_OUT),
+        "etl_metrics_csv": with_sql([ARTICLES_SQL, _CSV_METRICS_SQL], _CSV_METRICS_OUT),
+        "job_files": with_sql([*ANALYSIS, SERIES.format(window=7, factor=1.5)], _JOB_FILES_OUT),
         "scan_years": with_sql(
             ETL, "select year, month, region_id, count(*) as articles from fact "
                  "where year = 2023 group by all"),
@@ -299,4 +347,5 @@ def oracle_sql() -> dict[str, str]:
         "check_pk": with_sql(ETL, _PK_OUT),
         "check_partitions": with_sql(ETL, _PARTITIONS_OUT),
         "check_unique_articles": with_sql(ETL, _UNIQUE_OUT),
+        "check_report": with_sql(ETL, _REPORT_OUT),
     }

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from gaceta import session
 from gaceta.contract.articles import article_view, documents
 from gaceta.contract.mojibake import spoil
-from gaceta.functions import text
+from gaceta.functions import dates, text
 from gaceta.operators import analysis, checks, classify, clean, counts, keys
 from gaceta.operators.fact import build_fact
-from gaceta.params import Params, QueryParams
+from gaceta.params import Params, QueryParams, TokenParams
 from gaceta.plans import analytics, etl
 from gaceta.schema import RAW_COLUMNS
 from gaceta.sources import reports
@@ -32,18 +32,18 @@ def _dims(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    dates, sources = _dims(article_view(spark, sf_dir, texts=False))
+    dates, sources = _dims(article_view(spark, sf_dir))
     return build_fact(article_view(spark, sf_dir), dates, sources, PARAMS), dates, sources
 
 
 # --- scans and rejection ---
 
 def scan_project(spark, sf_dir):
-    return article_view(spark, sf_dir, texts=False).select("publish_date", F.lower("source").alias("source"), "_seq")
+    return article_view(spark, sf_dir).select("publish_date", F.lower("source").alias("source"), "_seq")
 
 
 def reject_null_keys(spark, sf_dir):
-    kept = clean.reject_null_keys(article_view(spark, sf_dir, texts=False))
+    kept = clean.reject_null_keys(article_view(spark, sf_dir))
     return kept.select("article_id", "publish_date", "_seq")
 
 
@@ -52,21 +52,27 @@ def dedup_first(spark, sf_dir):
     return kept.select("article_id", "publish_date", "_seq", F.md5("body").alias("body_md5"))
 
 
+def dedup_shuffled(spark, sf_dir):
+    """``dedup_first`` as it runs when nothing is small enough to be broadcast."""
+    kept = clean.keep_first(clean.reject_null_keys(article_view(spark, sf_dir)), limit=0)
+    return kept.select("article_id", "publish_date", "_seq", F.md5("body").alias("body_md5"))
+
+
 def parse_dates(spark, sf_dir):
-    narrow = article_view(spark, sf_dir, texts=False).select("article_id", "publish_date", "_seq")
-    dated = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(narrow)))
+    narrow = article_view(spark, sf_dir).select("article_id", "publish_date", "_seq")
+    dated = clean.parse_dates(clean.keep_first(clean.reject_null_keys(narrow)))
     return dated.select(
         "article_id", F.col("pub_date").cast("string").alias("pub_date"), "year", "month", "_seq")
 
 
 def etl_metrics(spark, sf_dir):
-    return clean.rejection_counts(article_view(spark, sf_dir, texts=False)).drop("malformed", "padded")
+    return clean.rejection_counts(article_view(spark, sf_dir)).drop("malformed", "padded")
 
 
 # --- dimensions and keys ---
 
 def first_seen_keys(spark, sf_dir):
-    raw = article_view(spark, sf_dir, texts=False)
+    raw = article_view(spark, sf_dir)
     dates = keys.date_keys(raw).select(
         F.lit("date").alias("kind"), F.col("fecha").alias("value"), F.col("date_id").alias("id"))
     sources = keys.source_keys(raw).select(
@@ -75,11 +81,11 @@ def first_seen_keys(spark, sf_dir):
 
 
 def dim_date(spark, sf_dir):
-    return keys.dim_date(keys.date_keys(article_view(spark, sf_dir, texts=False))).orderBy("fecha")
+    return keys.dim_date(keys.date_keys(article_view(spark, sf_dir))).orderBy("fecha")
 
 
 def dim_source(spark, sf_dir):
-    return keys.dim_source(keys.source_keys(article_view(spark, sf_dir, texts=False))).orderBy("source_id")
+    return keys.dim_source(keys.source_keys(article_view(spark, sf_dir))).orderBy("source_id")
 
 
 def dim_region(spark, sf_dir):
@@ -92,9 +98,9 @@ def dim_region(spark, sf_dir):
 
 
 def lookup_default(spark, sf_dir):
-    raw = article_view(spark, sf_dir, texts=False)
+    raw = article_view(spark, sf_dir)
     dates, sources = _dims(raw)
-    rows = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(
+    rows = clean.parse_dates(clean.keep_first(clean.reject_null_keys(
         raw.select("article_id", "publish_date", "source", "_seq"))))
     keyed = rows.withColumns({"fecha": F.col("publish_date"), "source": F.lower("source")})
     keyed = keys.lookup_ids(keyed, dates, "fecha", "date_id")
@@ -151,15 +157,67 @@ def fact_news(spark, sf_dir):
 
 def etl_csv_roundtrip(spark, sf_dir):
     """The whole job: articles to CSV files, CSV to warehouse, and the fact read back."""
-    csv = session.scratch_path(spark, "articles-csv")
-    raw = article_view(spark, sf_dir).orderBy("_seq").select(*RAW_COLUMNS)
-    raw.write.csv(
-        csv, header=True, escape='"',
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    csv = _write_csv(article_view(spark, sf_dir), session.scratch_path(spark, "articles-csv"))
     result = etl.run_etl(spark, csv, session.scratch_path(spark, "warehouse"), PARAMS)
     return _fact_columns(result.warehouse.fact(spark))
 
 
+def _write_csv(articles: DataFrame, path: str) -> str:
+    articles.orderBy("_seq").select(*RAW_COLUMNS).write.csv(
+        path, header=True, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
+def etl_two_runs(spark, sf_dir):
+    """Half the months loaded by one run, the others by a second into the same warehouse."""
+    articles = article_view(spark, sf_dir)
+    day = dates.parse_day(F.col("publish_date"))
+    early = F.coalesce(F.month(day) <= 6, F.lit(False))
+    house = session.scratch_path(spark, "warehouse")
+    for half in (early, ~early):
+        csv = _write_csv(articles.where(half), session.scratch_path(spark, "articles-csv"))
+        result = etl.run_etl(spark, csv, house, PARAMS)
+    read = lambda table: result.warehouse.read(spark, table)
+    fact = result.warehouse.fact(spark).select("article_id", "date_id", "source_id", "year", "month")
+    named = session.lookup_join(fact, read("dim_date").select("date_id", "fecha"), "date_id", spread="article_id")
+    named = session.lookup_join(named, read("dim_source"), "source_id", spread="article_id")
+    return named.select("article_id", "fecha", "source", "year", "month")
+
+
+def etl_metrics_csv(spark, sf_dir):
+    """All counters of CSVs in which some lines have too many fields and some too few."""
+    kind = F.col("_seq") % 10
+    quoted = lambda c: F.coalesce(
+        F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+    fields = [quoted(F.col(c)) for c in RAW_COLUMNS]
+    line = (
+        F.when(kind == 3, F.concat_ws(",", *fields, F.lit("x"), F.lit('"y,z"')))
+        .when(kind == 4, F.concat_ws(",", *fields[:3])).otherwise(F.concat_ws(",", *fields)))
+    header = ",".join(RAW_COLUMNS)
+    ordered = article_view(spark, sf_dir).orderBy("_seq").select(line.alias("value"))
+    # Every file starts with the header.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    path = session.scratch_path(spark, "articles-csv")
+    ordered.select(F.when(first, F.concat(F.lit(f"{header}\n"), "value")).otherwise(F.col("value"))) \
+        .write.text(path)
+    return etl.run_etl(spark, path, session.scratch_path(spark, "warehouse"), PARAMS).metrics
+
+
+def job_files(spark, sf_dir):
+    """The whole job from CSVs to result files, and what the files hold, line by line."""
+    csv = _write_csv(article_view(spark, sf_dir), session.scratch_path(spark, "articles-csv"))
+    folder = session.scratch_path(spark, "results")
+    analytics.run_all(spark, csv, session.scratch_path(spark, "warehouse"), folder, PARAMS)
+    texts = [spark.read.text(f"{folder}/{name}").select(F.lit(name).alias("file"), "value")
+             for name in ("top_terms_month", "words_region")]
+    tables = {name: spark.read.option("header", True).option("emptyValue", "").csv(f"{folder}/{name}")
+              for name in ("words_global", "kl_source", "peaks", "daily_series")}
+    lines = [table.select(F.lit(name).alias("file"), F.concat_ws(",", *[
+        F.coalesce(c, F.lit("")) for c in table.columns]).alias("value")) for name, table in tables.items()]
+    return reduce(DataFrame.unionByName, [*texts, *lines])
+
+
 def scan_years(spark, sf_dir):
     """One year of a partitioned fact table: other years' files are never opened."""
     house = Warehouse(session.scratch_path(spark, "warehouse"))
@@ -198,8 +256,10 @@ def _built_warehouse(spark, sf_dir) -> Warehouse:
 
 
 def counts_reused(spark, sf_dir):
-    """Counts written by one run and picked up from the store by the next."""
+    """Counts picked up from a store that also holds those of other parameters."""
     house = _built_warehouse(spark, sf_dir)
+    analytics.warehouse_counts(spark, house, Params(
+        tokens=TokenParams(min_length=6), query=QueryParams(years=(2023, 2023))))
     analytics.warehouse_counts(spark, house, PARAMS)
     kept = analytics.warehouse_counts(spark, house, PARAMS)
     parts = {"month": kept.month, "region": kept.region, "source": kept.source, "global": kept.world}
@@ -226,7 +286,7 @@ def dist_global(spark, sf_dir):
 
 
 def _kl(spark, sf_dir) -> DataFrame:
-    keys_only = article_view(spark, sf_dir, texts=False)
+    keys_only = article_view(spark, sf_dir)
     sources = session.materialize(keys.dim_source(keys.source_keys(keys_only)))
     articles = clean.clean_articles(article_view(spark, sf_dir))
     articles = articles.withColumn("source", F.lower("source"))
@@ -291,9 +351,9 @@ def peaks_events(spark, sf_dir):
 
 def peaks_articles(spark, sf_dir):
     """The daily series of the articles themselves; only their keys are read."""
-    raw = article_view(spark, sf_dir, texts=False).select("article_id", "publish_date", "_seq")
+    raw = article_view(spark, sf_dir).select("article_id", "publish_date", "_seq")
     dates = session.materialize(keys.dim_date(keys.date_keys(raw)))
-    kept = clean.parse_dates(clean.keep_first_narrow(clean.reject_null_keys(raw)))
+    kept = clean.parse_dates(clean.keep_first(clean.reject_null_keys(raw)))
     keyed = keys.lookup_ids(kept.withColumn("fecha", F.col("publish_date")), dates, "fecha", "date_id")
     daily = counts.articles_per_day(keyed, dates)
     return _rounded(analysis.daily_series(daily), "moving_avg")
@@ -302,12 +362,9 @@ def peaks_articles(spark, sf_dir):
 # --- checks, each with a fault put in ---
 
 def _fact_keys(spark, sf_dir, *columns: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Materialised key columns of the fact table, for checks that read them repeatedly.
-
-    Without ``region_id`` among them no text is read.
-    """
-    raw = article_view(spark, sf_dir, texts="region_id" in columns)
-    dates, sources = _dims(article_view(spark, sf_dir, texts=False))
+    """Materialised key columns of the fact table, for checks that read them repeatedly."""
+    raw = article_view(spark, sf_dir)
+    dates, sources = _dims(article_view(spark, sf_dir))
     fact = build_fact(raw, dates, sources, PARAMS)
     return session.materialize(fact.select(*columns)), dates, sources
 
@@ -321,7 +378,7 @@ def check_referential(spark, sf_dir):
 
 def check_rowcount(spark, sf_dir):
     fact, _, _ = _fact_keys(spark, sf_dir, "article_id")
-    raw = article_view(spark, sf_dir, texts=False).agg(F.count(F.lit(1)).alias("raw_rows"))
+    raw = article_view(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_rows"))
     short = fact.agg((F.count(F.lit(1)) - 3).alias("raw_rows"))
     variants = {"raw": raw, "short": short}
     return reduce(DataFrame.unionByName, [
@@ -331,14 +388,14 @@ def check_rowcount(spark, sf_dir):
 
 
 def check_pk(spark, sf_dir):
-    fact, dates, sources = _fact_keys(spark, sf_dir, "region_id")
-    doubled = dates.unionByName(dates.where("mes = 2"))
-    regions = keys.dim_region(spark, PARAMS.regions).where("region_id = 17").select("region_id")
+    dates_dim, sources = _dims(article_view(spark, sf_dir))
+    doubled = dates_dim.unionByName(dates_dim.where("mes = 2"))
+    regions = keys.dim_region(spark, PARAMS.regions)
     return reduce(DataFrame.unionByName, [
         checks.check_primary_key(doubled, "dim_date", "date_id"),
         checks.check_primary_key(sources, "dim_source", "source_id"),
         checks.check_primary_key(
-            fact.select("region_id").unionByName(regions), "dim_region", "region_id"),
+            regions.unionByName(regions.where("region_id > 15")), "dim_region", "region_id"),
     ]).drop("detail")
 
 
@@ -354,17 +411,28 @@ def check_unique_articles(spark, sf_dir):
     return checks.check_unique_articles(doubled).drop("detail")
 
 
+def check_report(spark, sf_dir):
+    """All checks of a warehouse on disk, with their words and the overall verdict."""
+    house = _built_warehouse(spark, sf_dir)
+    raw = article_view(spark, sf_dir).agg(F.count(F.lit(1)).alias("raw_rows"))
+    report = session.materialize(checks.check_warehouse(
+        house.fact(spark), *[house.read(spark, f"dim_{d}") for d in ("date", "source", "region")],
+        raw_rows=raw, partitions=house.fact_partitions(spark)))
+    return report.withColumn("all_passed", F.lit(checks.all_passed(report)))
+
+
 def queries() -> dict[str, Query]:
     plain = [
-        scan_project, reject_null_keys, dedup_first, parse_dates, etl_metrics,
+        scan_project, reject_null_keys, dedup_first, dedup_shuffled, parse_dates, etl_metrics,
         first_seen_keys, dim_date, dim_source, dim_region, lookup_default,
         fold_text, word_count, tokens, repair_text, assign_region,
-        fact_news, etl_csv_roundtrip, scan_years,
+        fact_news, etl_csv_roundtrip, etl_two_runs, etl_metrics_csv, job_files, scan_years,
         counts_day, counts_one_pass, counts_reused,
         top_k_terms_month, dist_words_region, dist_global, kl_source,
         daily_series, peaks, peaks_events, peaks_articles,
         report_top_terms, report_region_words, report_kl, report_peaks, report_series,
         check_referential, check_rowcount, check_pk, check_partitions, check_unique_articles,
+        check_report,
     ]
     levels = {f"counts_{level}": _count_query(level) for level in counts.LEVELS}
     return {q.__name__: q for q in plain} | levels

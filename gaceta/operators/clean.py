@@ -21,40 +21,40 @@ def reject_null_keys(df: DataFrame, keys: tuple[str, ...] = KEY_COLUMNS) -> Data
     return df.na.drop(subset=list(keys))
 
 
-def repeated_keys(df: DataFrame, key: str = "article_id", seq: str = "_seq") -> DataFrame:
-    """(key, first position) of the keys that more than one row holds."""
-    return (
-        df.groupBy(key)
+def later_copies(
+    df: DataFrame, key: str = "article_id", seq: str = "_seq",
+    limit: int = session.BROADCAST_BYTES,
+) -> DataFrame:
+    """(key, seq) of the rows that another row of their key precedes.
+
+    Only these two columns are read. Keys are counted with partial aggregation, which folds
+    a hot key to one row per task, and the few that repeat are joined back.
+    """
+    narrow = df.select(key, seq)
+    repeated = session.materialize(
+        narrow.where(F.col(key).isNotNull()).groupBy(key)
         .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .where("_copies > 1")
-        .select(key, "_first")
-    )
+        .where("_copies > 1").select(key, "_first"))
+    found = session.lookup_join(narrow, repeated, key, spread=seq, how="inner", limit=limit)
+    return found.where(F.col(seq) > F.col("_first")).select(key, seq).distinct()
 
 
 def keep_first(
     df: DataFrame, key: str = "article_id", seq: str = "_seq",
     limit: int = session.BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per key, the one with the smallest ``seq`` (unique per row).
+    """Rows of ``df`` without later copies: those another row of their key precedes.
 
-    The keys are grouped on their own, so the text is not part of that shuffle, and
-    partial aggregation folds a hot key to one row per task. If few keys repeat, they are
-    broadcast and the wide rows do not move. If many do, the winners are picked by a
-    semi-join on ``seq``, which spreads evenly however the keys are distributed.
+    Positions are meant to be unique and not null. If they are not: rows that tie for the
+    first place of a key all stay, and so do rows without a position. Rows without a key
+    copy nothing and stay. The copies are few next to the rows, so they are the build side:
+    broadcast if they measure small, or else hashed after one shuffle by (key, position),
+    which spreads evenly however the keys are distributed.
     """
-    repeated = session.materialize(repeated_keys(df, key, seq))
-    if session.fits_broadcast(repeated, limit):
-        first = F.col("_first").isNull() | (F.col(seq) == F.col("_first"))
-        return df.join(F.broadcast(repeated), key, "left").where(first).drop("_first")
-    winners = df.groupBy(key).agg(F.min(seq).alias(seq)).select(seq)
-    return df.join(winners, seq, "left_semi")
-
-
-def keep_first_narrow(df: DataFrame, key: str = "article_id", seq: str = "_seq") -> DataFrame:
-    """``keep_first`` for rows of a few short columns: one grouping, no join."""
-    rest = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*rest), F.col(seq)).alias("_row")
-    return df.groupBy(key).agg(first).select(key, "_row.*").select(*df.columns)
+    copies = session.materialize(later_copies(df, key, seq, limit))
+    small = session.fits_broadcast(copies, limit)
+    return df.join(copies.hint("broadcast" if small else "shuffle_hash"), [key, seq], "left_anti") \
+        .select(*df.columns)
 
 
 def parse_dates(df: DataFrame) -> DataFrame:

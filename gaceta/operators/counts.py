@@ -11,6 +11,8 @@ from gaceta.params import TokenParams
 MONTH = ["year", "month"]
 REGION = ["region_id"]
 SOURCE = ["source_id"]
+GROUPED_SCHEMA = "year int, month int, region_id int, source_id int, word string, n long, level string"
+DAY_SCHEMA = "fecha string, n long"
 LEVELS = {"month": MONTH, "region": REGION, "source": SOURCE, "global": []}
 
 

@@ -25,8 +25,10 @@ def first_seen(df: DataFrame, value: Column, name: str, seq: str = "_seq") -> Da
     )
 
 
-def dense_ids(values: DataFrame, id_name: str, seq: str = "first_seq") -> DataFrame:
-    """Number rows 1..n by a unique long ``seq``, without sorting them all in one task.
+def dense_ids(
+    values: DataFrame, id_name: str, seq: str = "first_seq", after: int = 0,
+) -> DataFrame:
+    """Number rows after+1, after+2, ... by a unique long ``seq``, not sorting all in one task.
 
     Rows are numbered inside blocks of consecutive positions. Only the block sizes (one
     short row per 2**24 positions) are summed up in order on one task.
@@ -42,21 +44,33 @@ def dense_ids(values: DataFrame, id_name: str, seq: str = "first_seq") -> DataFr
         blocked.withColumn("_inside", inside)
         .join(offsets, "_block")
         .select(
-            (F.col("_offset") + F.col("_inside")).cast("int").alias(id_name),
+            (F.col("_offset") + F.col("_inside") + after).cast("int").alias(id_name),
             *[c for c in values.columns if c != seq],
         )
     )
 
 
-def date_keys(raw: DataFrame, canonical: bool = True) -> DataFrame:
+def new_keys(found: DataFrame, value: str, id_name: str, known: DataFrame | None) -> DataFrame:
+    """(id, value) of the ``first_seen`` values that ``known`` (id, value) lacks.
+
+    They are numbered from the highest id ever given, so ids never change their meaning.
+    """
+    if known is None:
+        return dense_ids(found, id_name)
+    last = known.agg(F.max(id_name).alias("last")).first()["last"] or 0
+    fresh = found.join(known.select(value), value, "left_anti")
+    return dense_ids(fresh, id_name, after=last)
+
+
+def date_keys(raw: DataFrame, canonical: bool = True, known: DataFrame | None = None) -> DataFrame:
     """(date_id, fecha) for every date text, also those no calendar knows."""
     key = dates.date_key(F.col("publish_date"), canonical)
-    return dense_ids(first_seen(raw, key, "fecha"), "date_id")
+    return new_keys(first_seen(raw, key, "fecha"), "fecha", "date_id", known)
 
 
-def source_keys(raw: DataFrame) -> DataFrame:
+def source_keys(raw: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(source_id, source) for every publisher, lower-cased."""
-    return dense_ids(first_seen(raw, F.lower("source"), "source"), "source_id")
+    return new_keys(first_seen(raw, F.lower("source"), "source"), "source", "source_id", known)
 
 
 def dim_date(keys: DataFrame) -> DataFrame:

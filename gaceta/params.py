@@ -123,9 +123,6 @@ NA_TOKENS: tuple[str, ...] = (
 # Id given to a fact whose source or date has no dimension row.
 MISSING_ID = -1
 
-# The years the news collection covers; pass as ``years`` to restrict a scan.
-NEWS_YEARS = (2023, 2025)
-
 # --- End of fixed values. ---
 
 

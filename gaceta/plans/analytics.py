@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,21 @@ class Results:
     series: DataFrame
 
 
+def _counted_what(spark: SparkSession, warehouse: Warehouse, params: Params) -> str:
+    """Names the counts: what they depend on, and the state of the warehouse."""
+    said = repr((params.tokens, params.query.years, warehouse.run_id(spark)))
+    return hashlib.sha256(said.encode()).hexdigest()[:32]
+
+
 def warehouse_counts(
     spark: SparkSession, warehouse: Warehouse, params: Params = Params(), refresh: bool = False,
 ) -> Counts:
-    """The five counts, from the store if a finished run is there, else computed and kept."""
-    store = CountStore(spark, warehouse.path("counts"))
+    """The five counts, from the store if a finished run is there, else computed and kept.
+
+    Counts are stored for the term parameters, the years and the ETL run they were made
+    from; others are not taken for them.
+    """
+    store = CountStore(spark, warehouse.path("counts"), _counted_what(spark, warehouse, params))
     run = None if refresh else store.current()
     if run is None:
         run = store.new_run()
@@ -46,10 +57,10 @@ def warehouse_counts(
         store.write(run, "terms", counts.grouped_counts(fact, params.tokens), by="level")
         store.write(run, DAY, counts.articles_per_day(fact, warehouse.read(spark, "dim_date")))
         store.publish(run)
-    terms = store.read(run, "terms")
+    terms = store.read(run, "terms", counts.GROUPED_SCHEMA)
     return Counts(
         *[counts.level_counts(terms, level) for level in ("month", "region", "source", "global")],
-        store.read(run, DAY),
+        store.read(run, DAY, counts.DAY_SCHEMA),
     )
 
 

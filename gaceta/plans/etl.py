@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaceta import session
 from gaceta.operators import checks, clean, keys
 from gaceta.operators.fact import build_fact
 from gaceta.params import Params
-from gaceta.sources.articles import land_articles, scan_articles
+from gaceta.sources.articles import land_articles, require_positions, scan_articles
 from gaceta.sources.warehouse import Warehouse, write_dimension, write_fact
 
 
@@ -25,11 +26,31 @@ class EtlResult:
 
 
 def build_dimensions(spark: SparkSession, raw: DataFrame, warehouse: Warehouse, params: Params) -> None:
-    """Write the three dimensions. Keys come from all readable rows, rejected ones included."""
-    dates = keys.dim_date(keys.date_keys(raw, params.canonical_dates))
-    write_dimension(dates, warehouse.path("dim_date"), "fecha")
-    write_dimension(keys.dim_source(keys.source_keys(raw)), warehouse.path("dim_source"), "source_id")
-    write_dimension(keys.dim_region(spark, params.regions), warehouse.path("dim_region"), "region_id")
+    """Add what is new to the dimensions. Keys come from all readable rows, rejected ones included.
+
+    A value keeps the id it was first given, in every later run; date texts that are no
+    dates use ids too, which is why all keys are stored next to the dimensions.
+    """
+    for table, order, found, dimension in (
+        ("dim_date", "fecha",
+         lambda known: keys.date_keys(raw, params.canonical_dates, known), keys.dim_date),
+        ("dim_source", "source_id", lambda known: keys.source_keys(raw, known), keys.dim_source),
+    ):
+        known = warehouse.known(spark, f"{table}_keys")
+        if known is None and warehouse.known(spark, table) is not None:
+            raise ValueError(f"{table} has rows, but the keys given out so far are not stored")
+        fresh = session.materialize(found(known))
+        write_dimension(fresh, warehouse.path(f"{table}_keys"), order)
+        # What a broken run left without a row here gets one now.
+        rows = dimension(warehouse.read(spark, f"{table}_keys"))
+        present = warehouse.known(spark, table)
+        id_name = rows.columns[0]
+        missing = rows if present is None else rows.join(present.select(id_name), id_name, "left_anti")
+        write_dimension(session.materialize(missing), warehouse.path(table), order)
+    regions = keys.dim_region(spark, params.regions)
+    present = warehouse.known(spark, "dim_region")
+    if present is None or present.exceptAll(regions).head(1) or regions.exceptAll(present).head(1):
+        write_dimension(regions, warehouse.path("dim_region"), "region_id", "overwrite")
 
 
 def run_etl(
@@ -40,26 +61,37 @@ def run_etl(
     """Land the CSVs once, then build dimensions, fact table, counters and checks.
 
     The CSV text is parsed one time. Everything after it reads the landed Parquet copy,
-    where each step scans only its own columns.
+    where each step scans only its own columns. Further runs into the same warehouse
+    replace the months they hold and leave others, whose ids stay valid. Intermediate
+    tables are deleted at the end.
     """
     house = Warehouse(warehouse)
-    scanned = scan_articles(spark, articles, multi_line, order_column=order_column)
-    landed = land_articles(scanned, house.path("raw_articles"))
-    usable = landed.where("not _over_long")
-    build_dimensions(spark, usable, house, params)
-
-    fact = build_fact(usable, house.read(spark, "dim_date"), house.read(spark, "dim_source"), params)
-    write_fact(fact, house.path("fact_news"), overwrite)
-
-    metrics = clean.rejection_counts(landed, "_over_long", "_padded")
-    metrics.write.mode("overwrite").parquet(house.path("etl_metrics"))
-    metrics = house.read(spark, "etl_metrics")
-
-    report = checks.check_warehouse(
-        house.fact(spark), *[house.read(spark, f"dim_{d}") for d in ("date", "source", "region")],
-        raw_rows=metrics, partitions=house.fact_partitions(spark),
-    )
-    report.coalesce(1).write.mode("overwrite").parquet(house.path("checks"))
+    with session.job_scratch(spark):
+        scanned = scan_articles(spark, articles, multi_line, order_column=order_column)
+        landed = land_articles(scanned, house.path("raw_articles"))
+        if order_column:
+            require_positions(landed)
+        usable = landed.where("not _over_long")
+        build_dimensions(spark, usable, house, params)
+
+        # Told before and after: counts of the old facts and of half-written ones are no use.
+        house.publish_run(spark)
+        fact = build_fact(usable, house.read(spark, "dim_date"), house.read(spark, "dim_source"), params)
+        write_fact(fact, house.path("fact_news"), overwrite)
+        house.publish_run(spark)
+
+        metrics = clean.rejection_counts(landed, "_over_long", "_padded")
+        metrics.write.mode("overwrite").parquet(house.path("etl_metrics"))
+        metrics = house.read(spark, "etl_metrics")
+
+        # A row per month at most; only these months hold rows of this run and no others.
+        months = clean.clean_articles(usable.select("article_id", "publish_date", "_seq"))
+        months = session.materialize(months.select("year", "month").distinct())
+        report = checks.check_warehouse(
+            house.fact(spark), *[house.read(spark, f"dim_{d}") for d in ("date", "source", "region")],
+            raw_rows=metrics, partitions=house.fact_partitions(spark), months=months,
+        )
+        report.coalesce(1).write.mode("overwrite").parquet(house.path("checks"))
     report = house.read(spark, "checks")
     if raise_on_failure and not checks.all_passed(report):
         raise CheckFailure(str([r.asDict() for r in report.where("not passed").toLocalIterator()]))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +16,10 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 # Rough cost of a hashed row beyond its own strings.
 _ROW_OVERHEAD = 48
-# Inputs up to this size are dealt out to all cores before row-by-row text work.
-SMALL_INPUT_BYTES = 1 << 30
 # Pieces a hot key is spread over when the build side is too big to broadcast.
 SALTS = 32
+# Folder of the job that is running, if one is.
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def local_session(cpus: int | str = "*", app: str = "gaceta", partitions: int = 8) -> SparkSession:
@@ -36,10 +40,14 @@ def local_session(cpus: int | str = "*", app: str = "gaceta", partitions: int =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, named by the cluster in spark.checkpoint.dir."""
+    """The folder all executors see, named by the cluster in spark.checkpoint.dir.
+
+    Only a session whose executors are threads of this process may do without the setting;
+    it gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="gaceta-")
     if not spark.sparkContext.getCheckpointDir():
@@ -48,7 +56,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_job_folder.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside go to a folder of their own, deleted at the end.
+
+    For jobs that write their results elsewhere; nothing made inside may be read later.
+    """
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    token = _job_folder.set(folder)
+    try:
+        yield
+    finally:
+        _job_folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -68,21 +92,6 @@ def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
 
 
-def spread_small(scan: DataFrame, path: str, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Deal the rows of a small file scan out to all cores; leave any other scan alone.
-
-    A small file may be a single row group, which is one task however many cores are idle.
-    Number and size of the files come from the listing. A large scan, or one of many files,
-    has tasks enough and is not moved.
-    """
-    spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    listed = list_files(spark, path).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
-    small = listed["files"] < cores and (listed["bytes"] or 0) <= limit
-    return scan.repartition(cores) if small else scan
-
-
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (materialise it first) and say whether it may be broadcast."""
     size = F.lit(_ROW_OVERHEAD)

@@ -15,8 +15,7 @@ from gaceta.schema import RAW_COLUMNS
 # Row-group size of the landed table.
 ROW_GROUP_BYTES = 32 << 20
 _CORRUPT = "_corrupt"
-# A position is (file number, byte offset of the split + row number in the task).
-_OFFSET_BITS = 43
+# A place in a file is the byte offset of the split + the row number in the task.
 _ROW_MASK = (1 << 33) - 1
 
 
@@ -34,7 +33,8 @@ def scan_articles(
 
     The header names the columns; those the warehouse does not use are ignored. A line
     with too few fields is padded with nulls and flagged, one with too many is only flagged.
-    ``_seq`` grows with file name and place in the file, or is ``order_column`` as a long.
+    ``_seq`` grows with file name and place in the file, or is ``order_column`` as a long,
+    which must be there in every row and differ (``require_positions``).
 
     Quoted line breaks need ``multi_line``, which reads each file in one task: supply
     many files, or set it to False where no field holds a line break and files split.
@@ -67,22 +67,34 @@ def scan_articles(
 
 
 def _number_files(rows: DataFrame, path: str | list[str]) -> DataFrame:
-    """``_seq`` from ``_file`` and ``_offset``: files are numbered in order of their names.
+    """``_seq`` from ``_file`` and ``_offset``: files in order of their names, end to end.
 
-    The numbering window has no partition; it runs over file names, fewer than 2**20.
+    A file's positions begin where those before it end: each takes its bytes, and as many
+    again as one task may have read of other files. The running sum has one short row per
+    file; it has no bound on their number. A row of an unlisted file fails the job.
     """
-    files = session.list_files(rows.sparkSession, path)
-    count = files.count()
-    if count >= 1 << (63 - _OFFSET_BITS):
-        raise ValueError("too many article files to number; merge them or give order_column")
-    if count <= 1:
-        return rows.withColumn("_seq", F.col("_offset")).drop("_file", "_offset")
-    number = (F.row_number().over(W.orderBy("_file")) - 1).cast("long")
-    numbers = session.materialize(
-        files.select(F.col("file").alias("_file")).withColumn("_number", number))
-    seq = F.shiftleft("_number", _OFFSET_BITS) + F.col("_offset")
-    return session.lookup_join(rows, numbers, "_file", spread="_offset", how="inner").withColumn(
-        "_seq", seq).drop("_file", "_offset", "_number")
+    spark = rows.sparkSession
+    spare = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    starts = session.materialize(session.list_files(spark, path).select(
+        F.col("file").alias("_file"),
+        F.coalesce(F.sum(F.col("bytes") + spare).over(before), F.lit(0))
+        .alias("_start")))
+    joined = session.lookup_join(rows, starts, "_file", spread="_offset")
+    unlisted = F.raise_error(F.concat(F.lit("file not listed: "), F.col("_file"))).cast("long")
+    start = F.when(F.col("_start").isNull(), unlisted).otherwise(F.col("_start"))
+    return joined.withColumn("_seq", start + F.col("_offset")).drop("_file", "_offset", "_start")
+
+
+def require_positions(rows: DataFrame, seq: str = "_seq") -> None:
+    """Raise unless every row has a position and no two share one."""
+    found = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count(seq).alias("placed"),
+        F.count_distinct(seq).alias("places")).first()
+    if found["rows"] != found["placed"] or found["rows"] != found["places"]:
+        raise ValueError(
+            f"order column: {found['rows'] - found['placed']} rows without a position, "
+            f"{found['placed'] - found['places']} repeat one")
 
 
 def land_articles(rows: DataFrame, path: str) -> DataFrame:

@@ -34,13 +34,34 @@ class Warehouse:
 
     def fact_partitions(self, spark: SparkSession) -> DataFrame:
         """(year, month) of the fact files on disk: one row per file, no file is opened."""
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        return files.load(self.path("fact_news")).select("year", "month")
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+            "recursiveFileLookup", True).load(self.path("fact_news"))
+        level = lambda name: F.regexp_extract(
+            F.col("_metadata.file_path"), f"/{name}=([0-9]+)/", 1).cast("int").alias(name)
+        return files.select(level("year"), level("month"))
+
+    def known(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """A table if it has been written before."""
+        return _try_read(spark, self.path(table))
+
+    def publish_run(self, spark: SparkSession) -> None:
+        """Note that the warehouse has changed; stored counts of earlier states go stale."""
+        row = spark.createDataFrame([(uuid.uuid4().hex,)], "run string")
+        row.coalesce(1).write.mode("overwrite").parquet(self.path("etl_run"))
+
+    def run_id(self, spark: SparkSession) -> str:
+        table = self.known(spark, "etl_run")
+        row = table.first() if table is not None else None
+        return row["run"] if row else ""
+
 
+def write_dimension(dim: DataFrame, path: str, order: str, mode: str = "append") -> None:
+    """Add rows to a dimension table, sorted by ``order``.
 
-def write_dimension(dim: DataFrame, path: str, order: str) -> None:
-    """Replace a dimension table, sorted by ``order``."""
-    dim.orderBy(order).write.mode("overwrite").parquet(path)
+    Rows that are there stay as they are: a run that breaks off leaves facts and dimensions
+    that fit together, with some dimension rows too many at worst.
+    """
+    dim.orderBy(order).write.mode(mode).parquet(path)
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "dynamic") -> None:
@@ -71,12 +92,13 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
 class CountStore:
     """Materialised counts that later runs can reuse.
 
-    Every run writes into a folder of its own; the ``current`` table names the last
-    finished one and is written last, so a broken run is never taken for a result.
+    Every run writes into a folder of its own. ``current/<what>`` names the last finished
+    run for one set of parameters and one state of the warehouse, together its ``what``; it
+    is written last, so a broken run is never taken for a result.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, what: str = "all"):
+        self.spark, self.root, self.what = spark, root, what
 
     def new_run(self) -> str:
         return f"run-{uuid.uuid4().hex}"
@@ -85,16 +107,17 @@ class CountStore:
         writer = counts.write.mode("overwrite")
         path = f"{self.root}/{run}/{name}"
         (writer.partitionBy(by) if by else writer).parquet(path)
-        return self.spark.read.parquet(path)
+        return self.read(run, name, counts.schema)
 
     def publish(self, run: str) -> None:
         row = self.spark.createDataFrame([(run,)], "run string")
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/current")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/current/{self.what}")
 
     def current(self) -> str | None:
-        table = _try_read(self.spark, f"{self.root}/current")
+        table = _try_read(self.spark, f"{self.root}/current/{self.what}")
         row = table.first() if table is not None else None
         return row["run"] if row else None
 
-    def read(self, run: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{run}/{name}")
+    def read(self, run: str, name: str, schema: T.StructType | str) -> DataFrame:
+        """With the schema given, counts of nothing can be read as well."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{run}/{name}")

@@ -51,11 +51,33 @@ def test_every_way_to_keep_the_first_agrees(spark):
     for key, _, body, seq in rows:
         if key not in first or seq < first[key][0]:
             first[key] = (seq, body)
-    for kept in (clean.keep_first(df), clean.keep_first(df, limit=0), clean.keep_first_narrow(df)):
+    for limit in (1 << 20, 600, 0):
+        kept = clean.keep_first(df, limit=limit)
         got = {r["article_id"]: (r["_seq"], r["body"]) for r in kept.collect()}
         assert kept.count() == len(first) and got == first
 
 
+def test_keeping_the_first_with_missing_and_equal_positions(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", "c", "d", None, f"k{i}"]), "2023-01-01", f"b{i}",
+             rng.choice([None, i, i // 2, 7])) for i in range(200)]
+    df = articles(spark, rows).repartition(3)
+    first = {}
+    for key, _, _, seq in rows:
+        if key is not None and seq is not None:
+            first[key] = min(seq, first.get(key, seq))
+    expected = sorted(b for k, _, b, seq in rows if k is None or seq is None or seq == first[k])
+    for limit in (1 << 20, 400, 0):
+        assert sorted(r["body"] for r in clean.keep_first(df, limit=limit).collect()) == expected
+
+
+def test_later_copies_are_the_build_side(spark):
+    df = articles(spark, [("a", "2023-01-01", "x", 1), ("a", "2023-01-01", "y", 2)])
+    plan = lambda limit: clean.keep_first(df, limit=limit)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(1 << 20) and "BuildRight" in plan(1 << 20)
+    assert "ShuffledHashJoin" in plan(0) and "BuildRight" in plan(0)
+
+
 def test_na_tokens(spark):
     df = spark.createDataFrame([(x,) for x in ("NA", "null", "None", "n/a", "", "nada", None)], "v string")
     got = [r["v"] for r in clean.null_na_tokens(df, ["v"]).collect()]

@@ -1,5 +1,6 @@
 import csv
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from gaceta import session
 from gaceta.contract.articles import article_view
 from gaceta.operators import checks
-from gaceta.params import Params
+from gaceta.params import Params, QueryParams, TokenParams
 from gaceta.plans import analytics, etl
 from gaceta.schema import FACT_SCHEMA
 from gaceta.sources.articles import scan_articles
@@ -110,7 +111,8 @@ def test_etl_writes_the_star_schema(spark, built):
     failed = [c for c, r in report.items() if not r["passed"]]
     assert failed == ["1-referential"]
     missing = fact.where("source_id = -1").count()
-    assert report["1-referential"]["detail"] == f"date=0, source={missing}, region=0 orphans"
+    detail = report["1-referential"]["detail"]
+    assert detail == f"facts without a dimension row: date=0, source={missing}, region=0"
     assert not checks.all_passed(result.checks)
 
 
@@ -140,6 +142,102 @@ def test_untouched_months_stay(spark, built, tmp_path):
     assert ids() == ["9"]
 
 
+def star(house, spark):
+    """(article, fecha, source) as the ids of the warehouse give them."""
+    fact = house.fact(spark).join(house.read(spark, "dim_date"), "date_id", "left") \
+        .join(house.read(spark, "dim_source"), "source_id", "left")
+    return sorted(map(tuple, fact.select("article_id", "fecha", "source").collect()))
+
+
+def test_ids_keep_their_meaning_over_runs(spark, tmp_path):
+    batches = [
+        ["1,2023-01-03,Alfa,t,b,", "2,2023-01-01,Beta,t,b,", "3,no date,Beta,t,b,"],
+        ["4,2023-02-03,Gamma,t,b,", "5,2023-02-01,Beta,t,b,", "6,2022-12-01,Delta,t,b,"],
+        ["7,2023-03-01,ALFA,t,b,", "8,2023-02-03,Omega,t,b,"],
+    ]
+    expected = [
+        ("1", "2023-01-03", "alfa"), ("2", "2023-01-01", "beta"), ("4", "2023-02-03", "gamma"),
+        ("5", "2023-02-01", "beta"), ("6", "2022-12-01", "delta"), ("7", "2023-03-01", "alfa")]
+    house = str(tmp_path / "wh")
+    for n, lines in enumerate(batches):
+        path = write(tmp_path / f"{n}.csv", "\n".join([HEADER, *lines]) + "\n")
+        result = etl.run_etl(spark, path, house, raise_on_failure=True)
+        if n == 1:
+            assert star(result.warehouse, spark) == expected[:5]
+    # The third run replaces February.
+    assert star(result.warehouse, spark) == sorted(
+        [e for e in expected if e[0] not in "45"] + [("8", "2023-02-03", "omega")])
+    dates = {r["fecha"]: r["date_id"] for r in result.warehouse.read(spark, "dim_date_keys").collect()}
+    assert dates["no date"] == 3 and sorted(dates.values()) == list(range(1, len(dates) + 1))
+    sources = result.warehouse.read(spark, "dim_source")
+    assert sources.count() == sources.select("source").distinct().count() == 5
+    # Ids shifted by one would not pass.
+    shifted = sources.withColumn("source_id", F.col("source_id") + 1)
+    report = checks.check_referential(
+        result.warehouse.fact(spark), result.warehouse.read(spark, "dim_date"), shifted,
+        result.warehouse.read(spark, "dim_region"))
+    assert not checks.all_passed(report)
+
+
+def test_counts_follow_parameters_and_data(spark, tmp_path):
+    one = write(tmp_path / "one.csv", HEADER + "\n1,2023-01-01,A,sol marea,sol,\n2,2024-01-01,A,lluvia,sol,\n")
+    two = write(tmp_path / "two.csv", HEADER + "\n3,2023-01-01,A,viento,viento,\n")
+    house = str(tmp_path / "wh")
+    etl.run_etl(spark, one, house)
+    words = lambda **p: sorted(map(tuple, analytics.run_queries(
+        spark, house, params=Params(**p)).global_words.collect()))
+    only_2023 = words(query=QueryParams(years=(2023, 2023)))
+    assert only_2023 == [("marea", 1), ("sol", 2)]
+    assert words() == [("lluvia", 1), ("marea", 1), ("sol", 3)]
+    assert words(tokens=TokenParams(min_length=4)) == [("lluvia", 1), ("marea", 1)]
+    assert words(query=QueryParams(years=(2023, 2023))) == only_2023
+    etl.run_etl(spark, two, house)
+    assert words() == [("lluvia", 1), ("sol", 1), ("viento", 2)]
+
+
+@pytest.mark.parametrize("lines", [
+    [], ["1,no date,A,t,b,", ",2023-01-01,A,t,b,"], ["1,2023-01-01,A,de,la,"]])
+def test_nothing_left_over(spark, tmp_path, lines):
+    """No rows, every row rejected, no terms: all tables are there, and queries answer."""
+    path = write(tmp_path / "one.csv", "\n".join([HEADER, *lines]) + "\n")
+    result, found = analytics.run_all(spark, path, str(tmp_path / "wh"), str(tmp_path / "out"))
+    metrics = result.metrics.first().asDict()
+    assert metrics["raw_rows"] == len(lines)
+    assert result.checks.count() == 7 and checks.all_passed(result.checks)
+    assert result.warehouse.fact(spark).count() == metrics["written"]
+    assert found.top_terms.count() == found.region_words.count() == found.kl.count() == 0
+    again = analytics.run_queries(spark, str(tmp_path / "wh"))
+    assert again.global_words.count() == 0 and again.series.count() == metrics["written"]
+
+
+def test_position_column(spark, tmp_path):
+    lines = ["1,2023-01-02,B,t,b,20", "1,2023-01-03,C,t,b,10", "2,2023-01-01,A,t,b,30"]
+    path = write(tmp_path / "one.csv", "\n".join([HEADER, *lines]) + "\n")
+    result = etl.run_etl(spark, path, str(tmp_path / "wh"), order_column="extra")
+    assert star(result.warehouse, spark) == [("1", "2023-01-03", "c"), ("2", "2023-01-01", "a")]
+    for extra, message in (("", "1 rows without"), ("10", "1 repeat")):
+        bad = write(tmp_path / f"bad{extra}.csv", "\n".join([HEADER, *lines, f"3,2023-01-01,A,t,b,{extra}"]) + "\n")
+        with pytest.raises(ValueError, match=message):
+            etl.run_etl(spark, bad, str(tmp_path / f"wh{extra}"), order_column="extra")
+
+
+def test_rows_of_an_unlisted_file_fail_the_job(spark, tmp_path, monkeypatch):
+    for name in ("a.csv", "b.csv"):
+        write(tmp_path / name, HEADER + "\n1,2023-01-01,A,t,b,\n")
+    listed = session.list_files
+    monkeypatch.setattr(session, "list_files", lambda s, p: listed(s, p).where("file like '%a.csv'"))
+    with pytest.raises(Exception, match="file not listed"):
+        scan_articles(spark, str(tmp_path)).collect()
+
+
+def test_jobs_leave_no_scratch(spark, tmp_path):
+    path = write(tmp_path / "one.csv", HEADER + "\n1,2023-01-01,A,t,b,\n")
+    folder = session.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    etl.run_etl(spark, path, str(tmp_path / "wh"))
+    assert set(os.listdir(folder)) == before
+
+
 def test_dates_by_day_or_as_written(spark, tmp_path):
     lines = [HEADER, "1,2023-01-05,A,sol,mar,", "2,2023-1-5,A,sol,mar,", "3, 2023-01-05,a,sol,mar,"]
     path = write(tmp_path / "one.csv", "\n".join(lines) + "\n")
@@ -183,7 +281,7 @@ def test_results_and_reports(spark, built):
 def test_counts_are_reused_until_refreshed(spark, built):
     _, result, _ = built
     house = result.warehouse
-    store = CountStore(spark, house.path("counts"))
+    store = CountStore(spark, house.path("counts"), analytics._counted_what(spark, house, Params()))
     run = store.current()
     analytics.run_queries(spark, house.root)
     assert store.current() == run
@@ -208,7 +306,7 @@ def test_unfinished_counts_are_not_used(spark, tmp_path):
     store.write(run, "terms", spark.range(3))
     assert store.current() is None
     store.publish(run)
-    assert store.current() == run and store.read(run, "terms").count() == 3
+    assert store.current() == run and store.read(run, "terms", "id long").count() == 3
 
 
 def test_partitions_on_disk(spark, built):
@@ -258,11 +356,3 @@ def test_each_check_sees_its_fault(spark):
     }
     empty = checks.check_warehouse(fact.limit(0), date.limit(1), source, region, raw)
     assert checks.all_passed(empty)
-
-
-def test_only_small_scans_are_spread(spark):
-    path = f"{SF}/documents.parquet"
-    scan = spark.read.parquet(path)
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition 8" in plan(session.spread_small(scan, path))
-    assert "Repartition" not in plan(session.spread_small(scan, path, limit=1000))
