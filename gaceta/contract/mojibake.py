@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 SPOILED = "¡¿áéíóúüñàèêçäößÁÉÍÓÚÜÑÀÈÊÇÄÖ"
 
 
+# What is tidied besides in a text that needs repair, and how it ends up.
+UNTIDY = "‘a’ “b”\r\nc\u2028d\x85e ＡＢ１！\u3000f\x01g\x0bh\x7fi\ufeffj"
+TIDY = "'a' \"b\"\nc\nd\ne AB1! fghij"
+
+
 def misread(text: str) -> str:
     """UTF-8 bytes shown one by one, in Windows-1252 where it has a character."""
     return "".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from gaceta.contract.articles import ARTICLES_SQL
-from gaceta.contract.mojibake import repaired_sql, spoiled_sql
+from gaceta.contract.mojibake import TIDY, repaired_sql, spoiled_sql
 from gaceta.params import GAZETTEER, REGION_ATTRIBUTES, STOP_WORDS, UNKNOWN_REGION, WEEKDAYS
 
 
@@ -306,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
               {repaired_sql('bad')} as text from spoiled)
             select doc_id, spoiled_length, md5(text) as repaired_md5,
               length(text) as repaired_length from repaired""",
+        "tidy_text": f"select doc_id, md5(text || {_quote('ñ' + TIDY)}) as tidy_md5 from documents",
         "assign_region": with_sql(
             [*clean, DIM_REGION, REGION],
             "select article_id, region_id, region_name from placed join dim_region using (region_id)"),

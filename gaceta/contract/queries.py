@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaceta import session
 from gaceta.contract.articles import article_view, documents
-from gaceta.contract.mojibake import spoil
+from gaceta.contract.mojibake import UNTIDY, misread, spoil
 from gaceta.functions import dates, text
 from gaceta.operators import analysis, checks, classify, clean, counts, keys
 from gaceta.operators.fact import build_fact
@@ -137,6 +137,12 @@ def repair_text(spark, sf_dir):
         F.length("text").cast("long").alias("repaired_length"))
 
 
+def tidy_text(spark, sf_dir):
+    """Quotes, line ends, full-width forms and control characters in texts under repair."""
+    spoiled = F.concat(F.col("text"), F.lit(misread("ñ") + UNTIDY))
+    return documents(spark, sf_dir).select("doc_id", F.md5(text.repair(spoiled)).alias("tidy_md5"))
+
+
 def assign_region(spark, sf_dir):
     placed = classify.assign_region(clean.clean_articles(article_view(spark, sf_dir)))
     return placed.select("article_id", "region_id", "region_name")
@@ -425,7 +431,7 @@ def queries() -> dict[str, Query]:
     plain = [
         scan_project, reject_null_keys, dedup_first, dedup_shuffled, parse_dates, etl_metrics,
         first_seen_keys, dim_date, dim_source, dim_region, lookup_default,
-        fold_text, word_count, tokens, repair_text, assign_region,
+        fold_text, word_count, tokens, repair_text, tidy_text, assign_region,
         fact_news, etl_csv_roundtrip, etl_two_runs, etl_metrics_csv, job_files, scan_years,
         counts_day, counts_one_pass, counts_reused,
         top_k_terms_month, dist_words_region, dist_global, kl_source,

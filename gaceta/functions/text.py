@@ -107,18 +107,25 @@ def _decode_misread(text: Column) -> Column:
     return F.array_join(F.transform(pieces, fix), "")
 
 
+# --- Fixed values: what is tidied in a text under repair. ---
+SINGLE_QUOTES = "ʼ‘’‚‛"
+DOUBLE_QUOTES = "“”„‟"
+LINE_ENDS = (0x0D, 0x85, 0x2028, 0x2029)
+FULL_WIDTH = range(0xFF01, 0xFF5F)  # of the characters 0xFEE0 before them
+WIDE_SPACE = 0x3000
+CONTROLS = (*range(0x00, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F,
+            *range(0x206A, 0x2070), 0xFEFF, *range(0xFFF9, 0xFFFD))
+# --- End of fixed values. ---
+
+
 @cache
 def _tidy_map() -> tuple[str, str]:
     """Straight quotes, plain line ends, full-width forms to ASCII, controls dropped."""
-    pairs = {c: "'" for c in "ʼ‘’‚‛"}
-    pairs |= {c: '"' for c in "“”„‟"}
-    pairs |= {chr(c): "\n" for c in (0x0D, 0x85, 0x2028, 0x2029)}
-    pairs |= {chr(code): chr(code - 0xFEE0) for code in range(0xFF01, 0xFF5F)}
-    pairs[chr(0x3000)] = " "
-    controls = [*range(0x00, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F,
-                *range(0x206A, 0x2070), 0xFEFF, *range(0xFFF9, 0xFFFD)]
+    pairs = {c: "'" for c in SINGLE_QUOTES} | {c: '"' for c in DOUBLE_QUOTES}
+    pairs |= {chr(c): "\n" for c in LINE_ENDS}
+    pairs |= {chr(c): chr(c - 0xFEE0) for c in FULL_WIDTH} | {chr(WIDE_SPACE): " "}
     # translate() drops source characters that have no partner.
-    return "".join(pairs) + "".join(map(chr, controls)), "".join(pairs.values())
+    return "".join(pairs) + "".join(map(chr, CONTROLS)), "".join(pairs.values())
 
 
 def _tidy(text: Column) -> Column:

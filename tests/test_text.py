@@ -86,6 +86,16 @@ def test_repair(evaluate):
     assert evaluate(cases, lambda c: text.repair(F.col(c))) == list(cases.values())
 
 
+def test_texts_under_repair_are_tidied(evaluate):
+    cases = {
+        "Ã±‘’‚‛ʼ": "ñ" + "'" * 5, "Ã±“”„‟": "ñ" + '"' * 4,
+        "Ã±\r\n\r\x85\u2028\u2029\n": "ñ" + "\n" * 6,
+        "Ã±！～Ａｚ０\u3000": "ñ!~Az0 ", "Ã±\x00\x08\x0b\x0e\x1f\x7f\ufeff\u206a\ufff9x": "ñx",
+        "Ã±\t\x0c": "ñ\t\x0c", "‘sin daño’\r\n": "‘sin daño’\r\n",
+    }
+    assert evaluate(cases, lambda c: text.repair(F.col(c))) == list(cases.values())
+
+
 def test_repair_of_a_long_text(evaluate):
     good = "El niño comió ñandú en Ñuble. " * 20_000
     bad = good.encode().decode("cp1252", "replace").replace("�", "\x91")
