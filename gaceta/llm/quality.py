@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaceta.llm import samples
+from gaceta.llm.ngrams import word_ngrams
 
 # Features that are not words: the end of every text, and a word that repeats the one before.
 END, AGAIN = "\x00end", "\x00again"
@@ -38,27 +39,30 @@ class QualityParams:
     seed: int = 5
 
 
-def word_features(word: str, params: QualityParams) -> list[int]:
-    """Buckets of a word and of its character n-grams, word borders marked."""
-    found = [crc32(word.encode()) % params.buckets]
-    marked = f"<{word}>"
-    for n in range(params.shortest, params.longest + 1):
-        found += [crc32(marked[i:i + n].encode()) % params.buckets
-                  for i in range(len(marked) - n + 1)]
-    return found
+def word_features(words: list[str], params: QualityParams) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of each word and of its character n-grams, and the word each belongs to."""
+    grams, owner = word_ngrams(
+        words, tuple(range(params.shortest, params.longest + 1)), params.buckets)
+    whole = np.fromiter((single(w, params) for w in words), np.int64, len(words))
+    return np.concatenate([whole, grams]), np.concatenate([np.arange(len(words)), owner])
+
+
+def single(feature: str, params: QualityParams) -> int:
+    return crc32(feature.encode()) % params.buckets
 
 
 def text_features(text: str, params: QualityParams) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and how often each occurs."""
+    """Buckets of a text, ascending, and how often each occurs."""
     words = text.split()
-    counts: Counter[int] = Counter([crc32(END.encode()) % params.buckets])
-    for word, n in Counter(words).items():
-        for bucket in word_features(word, params):
-            counts[bucket] += n
+    counts = Counter(words)
+    n = np.fromiter(counts.values(), np.int64, len(counts))
+    buckets, owner = word_features(list(counts), params)
     again = sum(map(eq, words, words[1:]))
-    if again:
-        counts[crc32(AGAIN.encode()) % params.buckets] += again
-    return np.fromiter(counts.keys(), np.int32), np.fromiter(counts.values(), np.int32)
+    found, at = np.unique(
+        np.append(buckets, [single(END, params), single(AGAIN, params)]), return_inverse=True)
+    total = np.bincount(at, np.append(n[owner], [1, again]))
+    some = total > 0
+    return found[some].astype(np.int32), total[some].astype(np.int32)
 
 
 def train(
@@ -97,17 +101,19 @@ class Scorer:
         self.params, self.weights = params, weights
         self.sums: dict[str, float] = {}
         self.sizes: dict[str, int] = {}
-        single = lambda name: float(weights[crc32(name.encode()) % params.buckets])
-        self.end, self.again = single(END), single(AGAIN)
+        self.end = float(weights[single(END, params)])
+        self.again = float(weights[single(AGAIN, params)])
 
     def log_odds(self, text: str) -> float:
         words = text.split()
         if len(self.sums) > REMEMBERED:
             self.sums, self.sizes = {}, {}
-        for word in set(words).difference(self.sums):
-            buckets = word_features(word, self.params)
-            self.sums[word] = float(self.weights[buckets].sum())
-            self.sizes[word] = len(buckets)
+        new = list(set(words).difference(self.sums))
+        if new:
+            buckets, owner = word_features(new, self.params)
+            sums = np.bincount(owner, self.weights[buckets], len(new))
+            self.sums.update(zip(new, sums.tolist()))
+            self.sizes.update(zip(new, np.bincount(owner, minlength=len(new)).tolist()))
         again = sum(map(eq, words, words[1:]))
         total = sum(map(self.sums.__getitem__, words)) + self.end + again * self.again
         return total / (sum(map(self.sizes.__getitem__, words)) + 1 + again)
