@@ -11,13 +11,14 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaceta.llm.ngrams import word_ngrams
+
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 REMEMBERED = 1 << 18
@@ -33,10 +34,9 @@ class LanguageParams:
     tolerance: float = 1e-4
 
 
-def word_trigrams(word: str, buckets: int) -> list[int]:
-    """Buckets of the letter trigrams of a lower-case word, its borders marked."""
-    marked = f" {word} "
-    return [crc32(marked[i:i + 3].encode()) % buckets for i in range(len(marked) - 2)]
+def word_trigrams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the letter trigrams of lower-case words, borders marked, and whose they are."""
+    return word_ngrams(words, (3,), buckets, " ", " ")
 
 
 def text_words(text: str) -> list[str]:
@@ -65,9 +65,9 @@ def trigram_counts(
         def fold() -> None:
             for lang, counts in words.items():
                 total = sums.setdefault(lang, np.zeros(params.buckets, np.int64))
-                for word, n in counts.items():
-                    for bucket in word_trigrams(word, params.buckets):
-                        total[bucket] += n
+                n = np.fromiter(counts.values(), np.float64, len(counts))
+                buckets, owner = word_trigrams(list(counts), params.buckets)
+                total += np.bincount(buckets, n[owner], params.buckets).astype(np.int64)
             words.clear()
 
         for batch in batches:
@@ -121,10 +121,12 @@ class Mixtures:
                 size = 2 * len(self.table) + len(new)
                 self.table = np.vstack(
                     [self.table, np.zeros((size - len(self.table), self.table.shape[1]))])
-            for word in new:
-                at = self.index[word] = len(self.index)
-                buckets = word_trigrams(word, self.params.buckets)
-                self.table[at] = self.model.logs[:, buckets].sum(axis=1)
+            buckets, owner = word_trigrams(new, self.params.buckets)
+            first = len(self.index)
+            for column, logs in enumerate(self.model.logs):
+                self.table[first:first + len(new), column] = np.bincount(
+                    owner, logs[buckets], len(new))
+            self.index.update(zip(new, range(first, first + len(new))))
         return self.table[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
 
     def shares(self, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
