@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from gaceta.schema import RAW_COLUMNS
 # Row-group size of the landed table.
 ROW_GROUP_BYTES = 32 << 20
 _CORRUPT = "_corrupt"
+# Larger files are worth a warning if each is to be read in one task.
+LARGE_FILE_BYTES = 1 << 30
 # A place in a file is the byte offset of the split + the row number in the task.
 _ROW_MASK = (1 << 33) - 1
 
@@ -39,6 +43,8 @@ def scan_articles(
     Quoted line breaks need ``multi_line``, which reads each file in one task: supply
     many files, or set it to False where no field holds a line break and files split.
     """
+    if multi_line:
+        _warn_of_large_files(spark, path)
     reader = spark.read.option("header", True).option("escape", '"')
     names = reader.option("multiLine", multi_line).csv(path).columns
     lacking = [c for c in RAW_COLUMNS if c not in names]
@@ -66,6 +72,16 @@ def scan_articles(
     return null_na_tokens(rows, list(RAW_COLUMNS), na_tokens)
 
 
+def _warn_of_large_files(spark: SparkSession, path: str | list[str]) -> None:
+    large = session.list_files(spark, path).where(F.col("bytes") > LARGE_FILE_BYTES).agg(
+        F.count(F.lit(1)).alias("files"), F.max("bytes").alias("bytes")).first()
+    if large["files"]:
+        warnings.warn(
+            f"{large['files']} article files are larger than {LARGE_FILE_BYTES >> 20} MB, up to "
+            f"{large['bytes'] >> 20} MB, and each will be read in one task; split them, or pass "
+            "multi_line=False if no field holds a line break", stacklevel=3)
+
+
 def _number_files(rows: DataFrame, path: str | list[str]) -> DataFrame:
     """``_seq`` from ``_file`` and ``_offset``: files in order of their names, end to end.
 

@@ -1,6 +1,7 @@
 import csv
 import glob
 import os
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from gaceta.operators import checks
 from gaceta.params import Params, QueryParams, TokenParams
 from gaceta.plans import analytics, etl
 from gaceta.schema import FACT_SCHEMA
+from gaceta.sources import articles
 from gaceta.sources.articles import scan_articles
 from gaceta.sources.warehouse import CountStore, Warehouse, write_fact
 from tests.conftest import SF
@@ -230,6 +232,16 @@ def test_rows_of_an_unlisted_file_fail_the_job(spark, tmp_path, monkeypatch):
         scan_articles(spark, str(tmp_path)).collect()
 
 
+def test_large_files_read_in_one_task_are_told(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "one.csv", HEADER + "\n1,2023-01-01,A,t,b,\n")
+    monkeypatch.setattr(articles, "LARGE_FILE_BYTES", 10)
+    with pytest.warns(UserWarning, match="1 article files"):
+        scan_articles(spark, path)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        scan_articles(spark, path, multi_line=False)
+
+
 def test_jobs_leave_no_scratch(spark, tmp_path):
     path = write(tmp_path / "one.csv", HEADER + "\n1,2023-01-01,A,t,b,\n")
     folder = session.shared_folder(spark).removeprefix("file:")
