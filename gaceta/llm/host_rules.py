@@ -104,11 +104,9 @@ def host_verdicts(rules: DataFrame, params: HostRuleParams = HostRuleParams()) -
     """(host, host_rate_bound, host_rejected) from the failures of all its documents."""
     hosts = rules.groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("base_failed").alias("k"))
-    prior = shrinkage.beta_moments(hosts, "n", "k")
-    bound = shrinkage.lower_bound(
-        F.col("n"), F.col("k"), F.col("mean"), F.col("strength"), params.z)
-    # One row of two numbers joins every host.
-    return hosts.join(F.broadcast(prior)).select(
+    mean, strength = shrinkage.beta_prior(hosts, "n", "k")
+    bound = shrinkage.lower_bound(F.col("n"), F.col("k"), mean, strength, params.z)
+    return hosts.select(
         "host", F.round(bound, 6).alias("host_rate_bound"),
         (bound > params.max_host_rate).alias("host_rejected"))
 

@@ -42,10 +42,10 @@ def source_rates(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
         weight = (F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)).cast("double")
                   if pairs else F.lit(0.0))
     weighed = rows.withColumn("weight", weight)
-    total = weighed.agg(F.sum("n").alias("all_rows"), F.sum("weight").alias("all_weight"))
+    total = weighed.agg(F.struct(F.sum("n").alias("rows"), F.sum("weight").alias("weight"))).scalar()
     rate = F.when(F.col("weight") <= 0, 0.0).otherwise(
-        F.col("weight") / F.col("all_weight") * params.epochs * F.col("all_rows") / F.col("n"))
-    return weighed.join(F.broadcast(total)).select("source", rate.alias("rate"))
+        F.col("weight") / total.getField("weight") * params.epochs * total.getField("rows") / F.col("n"))
+    return weighed.select("source", rate.alias("rate"))
 
 
 def poisson_table(rates: DataFrame) -> DataFrame:

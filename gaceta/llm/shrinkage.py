@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 STRENGTH_RANGE = (1.0, 1000.0)
 
 
-def beta_moments(groups: DataFrame, n: str, k: str, prefix: str = "") -> DataFrame:
+def beta_prior(groups: DataFrame, n: str, k: str) -> tuple[Column, Column]:
+    """(mean, strength) of ``beta_moments`` as a scalar subquery, for use in other tables."""
+    row = beta_moments(groups, n, k).select(F.struct("mean", "strength")).scalar()
+    return row.getField("mean"), row.getField("strength")
+
+
+def beta_moments(groups: DataFrame, n: str, k: str) -> DataFrame:
     """One row (mean, strength) of the beta prior behind ``k`` events in ``n`` trials per group.
 
     The strength comes from the analysis-of-variance estimate of the correlation within
@@ -29,8 +35,7 @@ def beta_moments(groups: DataFrame, n: str, k: str, prefix: str = "") -> DataFra
     strength = (
         F.when(h == 0, low).when((spread <= 0) | (room <= 0), high)
         .otherwise(F.greatest(F.lit(low), F.least(F.lit(high), room / spread - 1))))
-    return sums.select(
-        F.coalesce(mean, F.lit(0.5)).alias(f"{prefix}mean"), strength.alias(f"{prefix}strength"))
+    return sums.select(F.coalesce(mean, F.lit(0.5)).alias("mean"), strength.alias("strength"))
 
 
 def posterior_mean(n: Column, k: Column, mean: Column, strength: Column) -> Column:

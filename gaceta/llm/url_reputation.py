@@ -78,22 +78,21 @@ def host_bounds(
     it is judged by, so none counts twice. The strength of each prior comes from the
     spread between the groups of that level. A host without labels gets its domain's rate.
     """
-    def level(keys: list[str], name: str) -> DataFrame:
-        sums = hosts.groupBy(*keys).agg(F.sum("n").alias(f"n_{name}"), F.sum("k").alias(f"k_{name}"))
-        prior = shrinkage.beta_moments(sums, f"n_{name}", f"k_{name}", f"{name}_")
-        return sums.join(F.broadcast(prior))
+    def sums(keys: list[str], name: str) -> DataFrame:
+        return hosts.groupBy(*keys).agg(F.sum("n").alias(f"n_{name}"), F.sum("k").alias(f"k_{name}"))
 
+    suffixes, domains = sums(["suffix"], "suffix"), sums(["suffix", "domain"], "domain")
+    suffix_mean, suffix_strength = shrinkage.beta_prior(suffixes, "n_suffix", "k_suffix")
+    _, domain_strength = shrinkage.beta_prior(domains, "n_domain", "k_domain")
+    _, host_strength = shrinkage.beta_prior(hosts, "n", "k")
     n, k = F.col("n"), F.col("k")
     suffix = shrinkage.posterior_mean(
         F.col("n_suffix") - F.col("n_domain"), F.col("k_suffix") - F.col("k_domain"),
-        F.col("suffix_mean"), F.col("suffix_strength"))
+        suffix_mean, suffix_strength)
     domain = shrinkage.posterior_mean(
-        F.col("n_domain") - n, F.col("k_domain") - k, suffix, F.col("domain_strength"))
-    bound = shrinkage.lower_bound(n, k, domain, F.col("host_strength"), params.z)
-    rated = (
-        hosts.join(level(["suffix", "domain"], "domain"), ["suffix", "domain"])
-        .join(level(["suffix"], "suffix"), "suffix")
-        .join(F.broadcast(shrinkage.beta_moments(hosts, "n", "k", "host_"))))
+        F.col("n_domain") - n, F.col("k_domain") - k, suffix, domain_strength)
+    bound = shrinkage.lower_bound(n, k, domain, host_strength, params.z)
+    rated = hosts.join(domains, ["suffix", "domain"]).join(suffixes, "suffix")
     return rated.select(
         "host", F.round(bound, 6).alias("bad_bound"),
         F.when(bound > params.max_bad_rate, BLOCK).otherwise(ALLOW).alias("reputation"))

@@ -10,7 +10,6 @@ from datetime import date, timedelta
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gaceta.llm import bpe, host_rules, mixing, pseudonyms, queries, url_reputation
