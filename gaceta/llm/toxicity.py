@@ -165,7 +165,8 @@ def fit(
 ) -> Chain | None:
     """The chain, fitted on at most ``train_rows`` labelled rows; None without any.
 
-    To the driver come the word buckets of these rows, at most ``buckets`` numbers each.
+    One task trains on the word buckets of these rows; only the weights, a fixed number of
+    buckets, come to the driver.
     """
     targets = targets or default_targets()
     usable = F.lit(True) if usable is None else usable
@@ -174,19 +175,27 @@ def fit(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [word_buckets(t.as_py(), params.buckets).astype(np.int32)
+            found = [word_buckets(t.as_py(), params.buckets).astype(np.int32).tobytes()
                      for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[batch.column(n) for n in names],
-                 pa.array(found, pa.list_(pa.int32()))], ["doc_id", *names, "buckets"])
-
-    rows = sample.mapInArrow(
-        features, f"doc_id long, {', '.join(f'{n} int' for n in names)}, buckets array<int>").toPandas()
-    if not len(rows):
-        return None
-    rows = rows.sort_values("doc_id", kind="stable")
-    return fit_chain([np.asarray(b, np.int64) for b in rows["buckets"]],
-                     rows[names].to_numpy(), params)
+                 pa.array(found, pa.binary())], ["doc_id", *names, "buckets"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns])]
+        if not rows:
+            return
+        rows.sort()
+        chain = fit_chain([np.frombuffer(row[-1], np.int32).astype(np.int64) for row in rows],
+                          np.array([row[1:-1] for row in rows]), params)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([[w.tobytes() for w in chain.weights]], pa.list_(pa.binary())),
+             pa.array([chain.threshold])], ["weights", "threshold"])
+
+    model = (
+        sample.mapInArrow(features, f"doc_id long, {', '.join(f'{n} int' for n in names)}, buckets binary")
+        .repartition(1).mapInArrow(train, "weights array<binary>, threshold double").first())
+    return model and Chain([np.frombuffer(w) for w in model["weights"]], model["threshold"])
 
 
 def score(
