@@ -98,8 +98,9 @@ def _finish_in_task(digit: int, growth: int):
 
 
 def _with_digit(rows: DataFrame, text: Column, at: int, width: int) -> DataFrame:
-    lowered = columns.ascii_lower(F.coalesce(text, F.lit(""))).cast("binary")
-    return rows.withColumn("digit", F.substring(lowered, at + 1, width))
+    """Adds ``width`` bytes from ``at`` on, lowered, each byte as the Latin-1 character it is."""
+    piece = F.substring(F.coalesce(text, F.lit("")).cast("binary"), at + 1, width)
+    return rows.withColumn("digit", columns.ascii_lower(F.decode(piece, "ISO-8859-1")))
 
 
 def _groups(rows: DataFrame, *more: Column) -> DataFrame:
