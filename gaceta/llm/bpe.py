@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 # The public pattern that cuts texts into pieces before byte-level merging: contractions,
 # letters, digits, other signs, each with one leading space, and runs of white space.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Pieces a worker remembers before it starts over; four times as many token pairs.
-REMEMBERED = 1 << 16
+# Pieces a worker remembers before it starts over; twice as many token pairs.
+REMEMBERED = 1 << 17
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -55,6 +55,8 @@ class Vocabulary:
             self.rank[a, b] = rank
             self.halves.setdefault(whole, (rank, a, b))
         self.mergeable = {as_bytes(t): i for t, i in ids.items()}
+        if any(bytes([b]) not in self.mergeable for b in range(256)):
+            raise ValueError("not a byte-level vocabulary: some bytes have no token")
 
     def offsets(self) -> tuple[np.ndarray, np.ndarray]:
         """All token bytes end to end, and where each id's begin; one more entry ends them."""
@@ -107,7 +109,7 @@ class Encoder:
         """Whether merging the bytes of both tokens together gives back just these two."""
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) >= 4 * REMEMBERED:
+            if len(self.compatible) >= 2 * REMEMBERED:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._check_pair(left, right)
         return known
@@ -140,6 +142,17 @@ class Encoder:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         text = piece.decode("latin-1")
+        # Often the longest token at each place, one after the other, is right as it is.
+        out, before, known = [], None, self.compatible.get
+        for _, (_, token) in self.automaton.iter_long(text):
+            if before is not None and not (
+                    known((before, token)) or self.pair_fits(before, token)):
+                return self._with_steps_back(text)
+            out.append(token)
+            before = token
+        return out
+
+    def _with_steps_back(self, text: str) -> list[int]:
         # Ends and ids of the tokens that start at each place.
         size = len(text)
         starts: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
