@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gaceta import session  # noqa: E402
-from gaceta.llm import bpe, mixing, quality, queries, radix_dedup, simhash  # noqa: E402
+from gaceta.llm import bpe, jaccard, mixing, quality, queries, radix_dedup  # noqa: E402
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -31,11 +31,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id.
 
-    Fingerprints of 128 bits over 5-word shingles that agree in four fifths of their bits.
+    Sets of 5-word shingles of Jaccard similarity 0.8 or more; SimHash finds the candidates.
     """
-    linked = simhash.near_duplicates(docs)
-    dropped = session.materialize(
-        linked.where("component_id <> doc_id").select("doc_id").distinct())
+    dropped = session.materialize(jaccard.near_copies(docs).select("doc_id"))
     if session.fits_broadcast(dropped):
         dropped = F.broadcast(dropped)
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)

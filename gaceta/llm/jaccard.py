@@ -1,0 +1,165 @@
+"""Near copies by the exact Jaccard similarity of shingle sets, among what fingerprints put together."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gaceta import session
+from gaceta.llm import components, simhash
+
+
+@dataclass(frozen=True)
+class JaccardParams:
+    similarity: float = 0.8
+    # Candidates. At similarity 0.8 a bit differs with p <= 0.161, up to four shingles 0 and at
+    # five 0.1875 (all overlaps of up to 500 shingles counted out): radii of 0.999 recall.
+    prints: simhash.SimHashParams = simhash.SimHashParams(
+        lanes=3, radius=54, radii=(0, 0, 0, 0, 0, 54), long_radius=48)
+    # Shingles of one candidate group that a task holds while the group's others pass by.
+    held: int = 1 << 20
+
+
+def linked(sets: list[np.ndarray], home: int, root: np.ndarray, similarity: float):
+    """Index pairs that connect what pairs of so similar sets connect.
+
+    The first ``home`` sets are compared with the others or, if there are no others, with
+    one another. ``root`` has a number per set, equal for sets known to be connected; such
+    are not compared again, and it is brought up to date.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    holders = np.repeat(np.arange(len(sets)), size)[order]
+    start = np.searchsorted(code[order], np.arange(len(values) + 1))
+    at = np.concatenate([[0], np.cumsum(size)])
+    alone = home == len(sets)
+    one, two = [], []
+    for p in range(0 if alone else home, len(sets)):
+        low = p + 1 if alone else 0
+        apart = root[low:home] != root[p]
+        if not apart.any():
+            continue
+        own = code[at[p]:at[p + 1]]
+        n = start[own + 1] - start[own]
+        where = np.arange(n.sum()) + np.repeat(start[own] - np.cumsum(n) + n, n)
+        shared = np.bincount(holders[where], minlength=len(sets))[low:home]
+        union = size[low:home] + size[p] - shared
+        near = apart & (np.where(union, shared / np.maximum(union, 1), 1.0) >= similarity)
+        joined, first = np.unique(root[low:home][near], return_index=True)
+        if len(joined):
+            two.append(np.flatnonzero(near)[first] + low)
+            one.append(np.full(len(joined), p))
+            root[np.isin(root, [*joined[1:], root[p]])] = joined[0]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *one]), np.concatenate([none, *two])
+
+
+def _shingle_sets(words: int):
+    """(component, chunks, id, text) -> the text's distinct shingles as sorted 64-bit hashes."""
+    digest = xxhash.xxh64_intdigest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.array([digest(x) for x in simhash.shingles(t.as_py() or b"", words)],
+                                       np.uint64)).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("component", "chunks", "id")), pa.array(sets, pa.binary())],
+                ["component", "chunks", "id", "hashes"])
+
+    return run
+
+
+def _verify(similarity: float):
+    """Arrow batches sorted by (component, chunk, guest) -> links.
+
+    The sets at home in a cell come first and are held; guests pass by in batches.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, sets, ids, root = None, [], [], None
+
+        def links(more_sets, more_ids):
+            nonlocal root
+            if root is None:  # the cell's home is complete
+                root = np.arange(len(sets))
+                if sets and more_sets:
+                    yield from links([], [])
+            every = np.array([*ids, *more_ids], np.int64)
+            if not len(every):
+                return
+            known = np.concatenate([root, np.arange(len(sets), len(every))])
+            a, b = linked([*sets, *more_sets], len(sets), known, similarity)
+            root = known[:len(sets)]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(every[a]), pa.array(every[b])], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(c).to_numpy() for c in ("component", "chunk", "guest")]
+            turns = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0))
+            edges = [0, *(turns + 1).tolist(), batch.num_rows]
+            hashes = [np.frombuffer(h.as_py(), np.uint64) for h in batch.column("hashes")]
+            names = batch.column("id").to_pylist()
+            for i, j in zip(edges[:-1], edges[1:]):
+                here = (keys[0][i], keys[1][i])
+                if here != cell:
+                    if root is None:
+                        yield from links([], [])
+                    cell, sets, ids, root = here, [], [], None
+                if keys[2][i]:
+                    yield from links(hashes[i:j], names[i:j])
+                else:
+                    sets += hashes[i:j]
+                    ids += names[i:j]
+        if root is None:
+            yield from links([], [])
+
+    return run
+
+
+def near_copies(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
+    """(doc_id, component_id) of the rows linked to a smaller id, which is the component's smallest.
+
+    Two texts link if their sets of shingles have the similarity or more; links are
+    transitive. Fingerprints within the radius only make groups of candidates, and all pairs
+    of a group not connected yet are compared, so no link rests on a fingerprint; of the
+    pairs at the similarity itself, one in a thousand or less may be missed. Null, empty and
+    blank texts are equal. Rows without id link nothing.
+    """
+    prints = session.materialize(simhash.fingerprints(docs, params.prints))
+    groups = session.materialize(
+        simhash.linked_groups(prints, params.prints).select(
+            F.col("component_id").alias("component"), F.col("doc_id").alias("id"), "size"))
+    # A group of many shingles is cut into chunks, each the home of a cell.
+    several = session.materialize(
+        groups.groupBy("component").agg(F.count("id").alias("n"), F.sum("size").alias("shingles"))
+        .where("n > 1").select("component", F.greatest(
+            F.ceil(F.col("shingles") / params.held), F.lit(1)).cast("int").alias("chunks")))
+    members = session.materialize(
+        session.lookup_join(groups, several, "component", "id", "inner")
+        .select("component", "chunks", "id").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
+    if session.fits_broadcast(members):
+        members = F.broadcast(members)
+    sets = (
+        texts.join(members, "id").select("component", "chunks", "id", "text")
+        .mapInArrow(_shingle_sets(params.prints.words),
+                    "component long, chunks int, id long, hashes binary"))
+    # At home in one chunk, a guest of those after it.
+    home = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    cells = sets.withColumn("home", home).select(
+        "component", F.explode(F.sequence("home", F.col("chunks") - 1)).alias("chunk"), "home", "id", "hashes"
+    ).select("component", "chunk", (F.col("chunk") > F.col("home")).cast("int").alias("guest"), "id", "hashes")
+    links = (
+        cells.repartition("component", "chunk").sortWithinPartitions("component", "chunk", "guest")
+        .mapInArrow(_verify(params.similarity), components.EDGES))
+    joined = components.components(session.materialize(links))
+    return joined.where("id <> component").select(
+        F.col("id").alias("doc_id"), F.col("component").alias("component_id"))

@@ -26,6 +26,10 @@ class SimHashParams:
     lanes: int = 2
     # Fingerprints link at this many differing bits or fewer.
     radius: int = 25
+    # Radii, none above ``radius``, by the number of shingles of the longer text, and for
+    # longer texts than those; none: ``radius`` for all.
+    radii: tuple[int, ...] = ()
+    long_radius: int = 25
     # Texts link only if the shorter has at least this share of the longer's shingles; 0: any.
     min_size_ratio: float = 0.8
     # Rows of a tile that one task holds while it reads the neighbouring tiles.
@@ -143,6 +147,11 @@ class Tiling:
         for x, y in zip(a, b):
             apart += np.bitwise_count(x[:, None] ^ y[None, :])
         i, j = np.nonzero(apart <= self.params.radius)
+        if self.params.radii:
+            limits = np.array([*self.params.radii, self.params.long_radius])
+            limit = limits[np.minimum(np.maximum(na[i], nb[j]), len(limits) - 1)]
+            fits = apart[i, j] <= limit
+            i, j = i[fits], j[fits]
         if self.params.min_size_ratio:
             small, large = np.minimum(na[i], nb[j]), np.maximum(na[i], nb[j])
             fits = small >= self.params.min_size_ratio * large
@@ -257,7 +266,7 @@ def _compare(params: SimHashParams, block: int = 128):
 
 
 def linked_groups(prints: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
-    """(doc_id, component_id) of the rows of ``fingerprints`` that are linked to a smaller id.
+    """(doc_id, f0.., size, component_id) of the rows of ``fingerprints`` that have an id.
 
     Equal fingerprints of equal size are compared once, under their smallest id; all
     others are compared exactly, wherever their tiles may reach each other.
@@ -293,7 +302,7 @@ def linked_groups(prints: DataFrame, params: SimHashParams = SimHashParams()) ->
     named = session.materialize(distinct.join(
         joined.withColumnRenamed("component", "component_id"), "id", "left")
         .select(*keys, F.coalesce("component_id", "id").alias("component_id")))
-    return prints.join(named, keys).select("doc_id", *lanes, "component_id")
+    return prints.join(named, keys).select("doc_id", *lanes, "size", "component_id")
 
 
 def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:
@@ -308,4 +317,4 @@ def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) ->
     lanes = [f"f{i}" for i in range(params.lanes)]
     nameless = prints.where("doc_id is null").select(
         "doc_id", *lanes, F.lit(None).cast("long").alias("component_id"))
-    return linked_groups(prints, params).unionByName(nameless)
+    return linked_groups(prints, params).drop("size").unionByName(nameless)

@@ -1,0 +1,72 @@
+"""Near copies against brute-force Jaccard similarity."""
+
+import random
+
+import pytest
+
+import corpus_pipeline as pipeline
+from gaceta.llm import jaccard, queries
+from tests.llm.conftest import SF_MEDIUM
+from tests.llm.test_dedup import lowered
+
+
+def shingle_set(text, words=5):
+    parts = lowered(text).split()
+    return {tuple(parts[i:i + words]) for i in range(max(1, len(parts) - words + 1))} if parts else set()
+
+
+def survivors_by_hand(rows, similarity=0.8):
+    """Keys of (key, text) that are the smallest of their component; every pair compared."""
+    sets = [(i, shingle_set(t)) for i, t in sorted(rows, key=lambda r: r[0])]
+    root = {i: i for i, _ in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, (i, p) in enumerate(sets):
+        for j, q in sets[:x]:
+            both, either = len(p & q), len(p | q)
+            if both >= similarity * either:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i for i in root if find(i) == i}
+
+
+def near_texts(rng, n):
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    while len(texts) < n:
+        base = rng.choices(words, k=rng.choice([3, 6, 8, 9, 13, 40, 60, 200]))
+        for _ in range(rng.choice([1, 2, 6])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 4])):
+                copy[rng.choice([0, -1, rng.randrange(len(copy))])] = rng.choice(words)
+            texts.append(" ".join(copy[:rng.choice([None, None, -1, -5])]))
+    return texts
+
+
+@pytest.mark.parametrize("held", [1 << 20, 300])
+def test_near_copies_against_all_pairs(spark, held):
+    rng = random.Random(4)
+    rows = list(enumerate(near_texts(rng, 400))) + [(1000, None), (1001, " "), (1002, "W1 W2"), (1003, "w1\tw2")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id for r in jaccard.near_copies(docs, jaccard.JaccardParams(held=held)).collect()}
+    assert {i for i, _ in rows} - found == survivors_by_hand(rows)
+
+
+def test_texts_below_the_similarity_stay(spark):
+    words = [f"w{i}" for i in range(104)]
+    below = [*words[:50], "x", *words[51:70], "y", *words[71:90], "z", *words[91:]]  # 85 of 115
+    rows = [(1, " ".join(words)), (2, " ".join(below))]
+    docs = spark.createDataFrame([(i, t, "es", "s", 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in pipeline.near_stage(spark, docs, "").collect()) == [1, 2]
+
+
+def test_near_stage_on_the_table(spark):
+    docs = queries.table(spark, SF_MEDIUM, "documents").select(*pipeline.COLUMNS)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert {r.doc_id for r in pipeline.near_stage(spark, docs, "").collect()} == survivors_by_hand(rows)
