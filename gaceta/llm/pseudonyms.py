@@ -25,11 +25,15 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-
 IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 PHONE = (r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}|"
          r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}")
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 _BORDER = r"(?![0-9A-Za-z]|\.[0-9])"
 _DATES = (r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|"
           r"[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}")
-CANDIDATE = f"{EMAIL}|(?<![0-9A-Za-z.])(?:{_DATES}|{IPV4}|{PHONE}|{CARD}){_BORDER}"
+# Numbers of 13 digits and more in all, one space or dash apart, that may hold cards; up to
+# a date or an address. Possessive, so long runs need no stack.
+_OTHER = f"[ -](?:(?:{_DATES}){_BORDER}|[A-Za-z0-9._%+-]{{1,64}}+@)"
+CARD = (f"(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++{_BORDER}"
+        f"(?:(?!{_OTHER})[ -][0-9]++{_BORDER})*+")
+CANDIDATE = f"{EMAIL}|(?<![0-9A-Za-z.])(?:(?:{_DATES}|{IPV4}|{PHONE}){_BORDER}|{CARD})"
 
 
 @dataclass(frozen=True)
@@ -150,15 +154,50 @@ def luhn_sum(digits: Column, doubled: int) -> Column:
                        lambda total, i: total + value(i))
 
 
-def _card(key: str, match: Column) -> Column:
+def _cards(key: str, match: Column) -> Column:
+    """(new, n): a run of numbers with its cards renewed, and how many; null and 0 if none.
+
+    Cards are 13 to 19 digits of whole numbers of the run that pass Luhn. Where such
+    overlap, the longest is taken, of equal ones the first.
+    """
     def renewed(digits: Column) -> Column:
         body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-        return F.when(luhn_sum(digits, 1) % 10 == 0, let(
-            permute_symbols(key, "card", body),
-            lambda new: _dressed(
-                F.concat(new, ((10 - luhn_sum(new, 0) % 10) % 10).cast("string")), match)))
-
-    return let(_digits(match), renewed)
+        return let(permute_symbols(key, "card", body), lambda new: F.concat(
+            new, ((10 - luhn_sum(new, 0) % 10) % 10).cast("string")))
+
+    def whole(numbers: Column) -> Column:
+        joined = lambda i, n: F.array_join(F.slice(numbers, i, n), "")
+        last = F.size(numbers)
+        one = lambda i, j: F.struct(
+            F.length(joined(i, j - i + 1)).alias("length"), i.alias("i"), j.alias("j"))
+        cards = F.flatten(F.transform(F.sequence(F.lit(1), last), lambda i: F.filter(
+            F.transform(F.sequence(i, F.least(i + 18, last)), lambda j: one(i, j)),
+            lambda c: c.getField("length").between(13, 19) & let(
+                joined(c.getField("i"), c.getField("j") - c.getField("i") + 1),
+                lambda d: luhn_sum(d, 1) % 10 == 0))))
+        ranked = F.array_sort(F.transform(cards, lambda c: F.struct(
+            (-c.getField("length")).alias("rank"), c.getField("i").alias("i"), c.getField("j").alias("j"))))
+        taken = F.aggregate(
+            ranked, F.array().cast("array<struct<i:int,j:int>>"),
+            lambda found, c: F.when(
+                F.exists(found, lambda x: (x.getField("i") <= c.getField("j"))
+                         & (c.getField("i") <= x.getField("j"))), found)
+            .otherwise(F.array_append(found, F.struct(c.getField("i").alias("i"), c.getField("j").alias("j")))))
+
+        def rebuilt(found: Column) -> Column:
+            start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+            step = lambda s, c: F.struct(
+                (c.getField("j") + 1).alias("at"), F.concat(
+                    s.getField("out"), joined(s.getField("at"), c.getField("i") - s.getField("at")),
+                    renewed(joined(c.getField("i"), c.getField("j") - c.getField("i") + 1))).alias("out"))
+            digits = F.aggregate(F.array_sort(found), start, step, lambda s: F.concat(
+                s.getField("out"), joined(s.getField("at"), last - s.getField("at") + 1)))
+            return F.struct(F.when(F.size(found) > 0, _dressed(digits, match)).alias("new"),
+                            F.size(found).alias("n"))
+
+        return let(taken, rebuilt)
+
+    return let(F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0)), whole)
 
 
 def _phone(key: str, match: Column) -> Column:
@@ -224,14 +263,17 @@ def _email(key: str, match: Column) -> Column:
 
 
 def pseudonym(key: str, match: Column) -> Column:
-    """The pseudonym of a candidate; null if it is not valid in any format."""
+    """(new, n): a candidate with its values replaced, and how many; null and 0 if none is valid."""
     is_date = match.rlike(f"^(?:{_DATES})$")
-    return (
+    is_phone = match.startswith("+") | match.startswith("(")
+    single = (
         F.when(F.contains(match, F.lit("@")), _email(key, match))
         .when(is_date, _date(key, match))
         .when(match.rlike(f"^{IPV4}$"), _ipv4(key, match))
-        .when(match.startswith("+") | match.startswith("("), _phone(key, match))
-        .otherwise(_card(key, match)))
+        .otherwise(_phone(key, match)))
+    is_run = ~(F.contains(match, F.lit("@")) | is_date | is_phone) & match.rlike("^[0-9 -]+$")
+    return F.when(is_run, _cards(key, match)).otherwise(let(single, lambda new: F.struct(
+        new.alias("new"), F.when(new.isNotNull(), 1).otherwise(0).alias("n"))))
 
 
 def pseudonymise(docs: DataFrame, params: PseudonymParams = PseudonymParams()) -> DataFrame:
@@ -243,14 +285,15 @@ def pseudonymise(docs: DataFrame, params: PseudonymParams = PseudonymParams()) -
     """
     text, key = F.col("text"), params.key
     hits = F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), F.lit(0))
-    pairs = F.transform(hits, lambda m: F.struct(m.alias("old"), pseudonym(key, m).alias("new")))
+    pairs = F.transform(hits, lambda m: let(pseudonym(key, m), lambda p: F.struct(
+        m.alias("old"), p.getField("new").alias("new"), p.getField("n").alias("n"))))
 
     def rebuilt(found: Column) -> Column:
         new = F.transform(found, lambda p: F.coalesce(p.getField("new"), p.getField("old")))
         return F.struct(
             F.array_join(F.zip_with(F.split(text, CANDIDATE, -1), new, lambda gap, value: F.concat(
                 gap, F.coalesce(value, F.lit("")))), "").alias("text"),
-            F.size(F.filter(found, lambda p: p.getField("new").isNotNull())).cast("long").alias("n"))
+            F.aggregate(found, F.lit(0).cast("long"), lambda n, p: n + p.getField("n")).alias("n"))
 
     none = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
     result = let(pairs, lambda found: F.when(F.size(found) > 0, rebuilt(found)).otherwise(none))

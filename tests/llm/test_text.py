@@ -177,6 +177,18 @@ def test_pseudonyms_by_hand(spark):
     assert replaced(spark, [f"a {v} b" for v in INVALID], key="k") == [(f"a {v} b", 0) for v in INVALID]
 
 
+def test_cards_next_to_short_numbers(spark):
+    card, other = "4111 1111 1111 1111", "378282246310005"
+    new, new_other = (pseudonym_by_hand(c, "k") for c in (card, other))
+    around = ["{} 12/26", "{} 123", "7 {}", "{} 12ab", "1234 5678 {} 123", "{}-7", "{} 2024-13-45"]
+    assert replaced(spark, [a.format(card) for a in around], key="k") == [(a.format(new), 1) for a in around]
+    assert replaced(spark, [f"{card} {other} 55"], key="k") == [(f"{new} {new_other} 55", 2)]
+    for value in ("2024-02-29", "12/31/2021", "10.0.0.1", "99@x.com"):
+        assert replaced(spark, [f"{card} {value}"], key="k") == [(f"{new} {pseudonym_by_hand(value, 'k')}", 2)]
+    long = "12345 " * 3000
+    assert len(replaced(spark, [long])[0][0]) == len(long)
+
+
 def test_pseudonyms_keep_format_and_links(spark):
     found = [t for t, _ in replaced(spark, VALUES)]
     for old, new in zip(VALUES, found):
