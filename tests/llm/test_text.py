@@ -189,6 +189,16 @@ def test_cards_next_to_short_numbers(spark):
     assert len(replaced(spark, [long])[0][0]) == len(long)
 
 
+def test_timestamps_and_international_phones(spark):
+    day = pseudonym_by_hand("2024-05-06", "k")
+    phones = ["+33 1 23 45 67 89", "+1.555.555.1234", "+4420 7946 0958", "+442079460958", "+1 555-12.34"]
+    texts = ["2024-05-06T10:00:00Z", "2024-05-06Tuesday", "+1 2", *phones, f"{phones[0]} 2024-05-06T10"]
+    expected = [(f"{day}T10:00:00Z", 1), ("2024-05-06Tuesday", 0), ("+1 2", 0),
+                *[(pseudonym_by_hand(p, "k"), 1) for p in phones],
+                (f"{pseudonym_by_hand(phones[0], 'k')} {day}T10", 2)]
+    assert replaced(spark, texts, key="k") == expected
+
+
 def test_pseudonyms_keep_format_and_links(spark):
     found = [t for t, _ in replaced(spark, VALUES)]
     for old, new in zip(VALUES, found):
