@@ -21,7 +21,7 @@ class JaccardParams:
     # Candidates. At similarity 0.8 a bit differs with p <= 0.161, up to four shingles 0 and at
     # five 0.1875 (all overlaps of up to 500 shingles counted out): radii of 0.999 recall.
     prints: simhash.SimHashParams = simhash.SimHashParams(
-        lanes=3, radius=54, radii=(0, 0, 0, 0, 0, 54), long_radius=48)
+        lanes=3, radius=54, radii=(0, 0, 0, 0, 0, 54), long_radius=48, distinct=True)
     # Shingles of one candidate group that a task holds while the group's others pass by.
     held: int = 1 << 20
 

@@ -32,6 +32,8 @@ class SimHashParams:
     long_radius: int = 25
     # Texts link only if the shorter has at least this share of the longer's shingles; 0: any.
     min_size_ratio: float = 0.8
+    # Count a repeated shingle once, in fingerprints and sizes.
+    distinct: bool = False
     # Rows of a tile that one task holds while it reads the neighbouring tiles.
     tile_rows: int = 1 << 14
 
@@ -83,6 +85,8 @@ def fingerprints(docs: DataFrame, params: SimHashParams = SimHashParams()) -> Da
             size = np.zeros(batch.num_rows, np.int64)
             for row, text in enumerate(batch.column("text")):
                 found = shingles(text.as_py() or b"", params.words)
+                if params.distinct:
+                    found = set(found)
                 size[row] = len(found)
                 for lane in range(params.lanes):
                     seed = SEED + lane

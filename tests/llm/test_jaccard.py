@@ -66,6 +66,12 @@ def test_texts_below_the_similarity_stay(spark):
     assert sorted(r.doc_id for r in pipeline.near_stage(spark, docs, "").collect()) == [1, 2]
 
 
+def test_repeats_count_once(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, text), (2, f"{text} {text}")], "doc_id long, text string")
+    assert [tuple(r) for r in jaccard.near_copies(docs).collect()] == [(2, 1)]
+
+
 def test_near_stage_on_the_table(spark):
     docs = queries.table(spark, SF_MEDIUM, "documents").select(*pipeline.COLUMNS)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
