@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from gaceta.llm.decontaminate import LeakParams
+from gaceta.llm.divergence import AuditParams
 from gaceta.llm.host_rules import SYMBOLS, WINDOW, HostRuleParams
 from gaceta.llm.mixing import PART_MEAN, MixParams
 from gaceta.llm.shrinkage import moments_sql
 from gaceta.llm.url_reputation import ALLOW, BLOCK, ReputationParams
+from gaceta.llm.vector_codes import CodeParams
 
 
 def _rules_sql(column: int, params: ReputationParams) -> str:
@@ -150,6 +153,121 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged join bounds using (host)"""
 
 
+def _lowered_words(pattern: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            f"'abcdefghijklmnopqrstuvwxyz'), '{pattern}')")
+
+
+def op11_decontaminate(params: LeakParams = LeakParams()) -> str:
+    words = _lowered_words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return f"""
+with docs as (select row_number() over () as r, doc_id, {words} as w from documents),
+items as (
+  select distinct coalesce(cast(item_id as varchar), '') as item, {words} as w from benchmark),
+phrases as (
+  select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as s from (
+    select item, w, least({params.words}, len(w)) as n,
+      unnest(range(1, len(w) - least({params.words}, len(w)) + 2)) as i
+    from items where len(w) > 0)),
+places as (
+  select r, n, i, array_to_string(w[i:i + n - 1], ' ') as s from (
+    select r, w, n, unnest(range(1, len(w) - n + 2)) as i
+    from docs, (select distinct n from phrases) where len(w) >= n)),
+found as (select r, n, i, item from places join phrases using (n, s)),
+hits as (
+  select r, count(distinct i + j) as n_hit
+  from (select distinct r, n, i from found), range({params.words}) x(j) where j < n group by r),
+named as (
+  select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as list
+  from found group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(list, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (r) left join named using (r)"""
+
+
+def op12_divergence(params: AuditParams = AuditParams()) -> str:
+    words = _lowered_words(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    share = lambda n, total: f"1 + (cast({params.scale} as hugeint) * ({n} + 1)) // ({total} + v)"
+    apart = lambda p, q: f"(({p} - {q}) * ({p} - {q})) // {q}"
+    return f"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    {words} as w
+  from documents),
+counts as (
+  select lang, source, term, count(*) as n, count(distinct r) as d
+  from (select r, lang, source, unnest(w) as term from docs) group by all),
+kept as (
+  select lang, term, sum(n) as n from counts group by all having sum(d) >= {params.min_docs}),
+groups as (
+  select g.lang, g.source, coalesce(v, 0) as v, coalesce(lang_total, 0) as lang_total,
+    coalesce(total, 0) as total
+  from (select distinct lang, source from docs) g
+    left join (select lang, count(*) as v, sum(n) as lang_total from kept group by 1) using (lang)
+    left join (select c.lang, source, sum(c.n) as total
+               from counts c join kept using (lang, term) group by all) using (lang, source)),
+shares as (
+  select g.lang, g.source, term, coalesce(c.n, 0) as n, {share("coalesce(c.n, 0)", "total")} as p,
+    {share("k.n", "lang_total")} as q
+  from groups g join kept k using (lang) left join counts c using (lang, source, term)),
+pairs as (
+  select lang, a.source as source, b.source as item, sum({apart("a.p", "b.p")}) as value
+  from shares a join shares b using (lang, term) where a.source <> b.source group by all),
+listed as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, {apart("p", "q")} from shares where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from (select *, row_number() over (
+        partition by lang, source, part order by value desc, item) as rank from listed)
+where part = 'pair' or rank <= {params.top}"""
+
+
+def op13_vector_codes(params: CodeParams = CodeParams()) -> str:
+    near = lambda book: f"""
+  select r, part, min(struct_pack(dist := dist, entry := entry)) as best from (
+    select r, part, entry, list_sum(list_transform(list_zip(q, b),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as dist
+    from cut join {book} using (part)) group by all"""
+    rounds = "".join(f"""
+near{i} as ({near(f"book{i}")}),
+means{i} as (
+  select part, entry, list((s - ((s % n) + n) % n) // n order by pos) as m from (
+    select part, best.entry as entry, pos, sum(x) as s, count(*) as n
+    from (select part, r, unnest(q) as x, generate_subscripts(q, 1) as pos from cut) join near{i} using (part, r)
+    group by all) group by all),
+book{i + 1} as (
+  select part, entry, coalesce(m, b) as b from book{i} left join means{i} using (part, entry)),"""
+                     for i in range(params.rounds))
+    return f"""
+with whole as (
+  select row_number() over () as r, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(cast(x as double) * {params.units}) as bigint)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+cut as (
+  select r, vec_id, part, v[part * len(v) // {params.parts} + 1:(part + 1) * len(v) // {params.parts}] as q
+  from whole, range({params.parts}) p(part)),
+book0 as (
+  select part, cast(e as bigint) as entry, q as b from (
+    select part, q, row_number() over (partition by part order by vec_id) - 1 as e from cut)
+  where e < {params.entries}),{rounds}
+final as ({near(f"book{params.rounds}")}),
+coded as (
+  select r, string_agg(lower(printf('%02x', best.entry)), '' order by part) as code,
+    cast(sum(best.dist) as bigint) as error
+  from final group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(array_to_string(b, ','), ',' order by part, entry))
+   from book{params.rounds}) as codebooks_sha256
+from whole join coded using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {f.__name__: f() for f in (
-        op2_url_filters, op7_exact_dedup, op9_mix_sources, op10_host_rules)}
+        op2_url_filters, op7_exact_dedup, op9_mix_sources, op10_host_rules, op11_decontaminate,
+        op12_divergence, op13_vector_codes)}

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaceta.llm import bpe, columns, host_rules, langmix, mixing, pseudonyms, quality, radix_dedup, simhash, toxicity, url_reputation
+from gaceta.llm import (
+    bpe, columns, decontaminate, divergence, host_rules, langmix, mixing, pseudonyms, quality,
+    radix_dedup, simhash, toxicity, url_reputation, vector_codes,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +91,30 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_quality(table(spark, sf_dir, "documents"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = vector_codes.compress(embeddings)
+    numbers = ",".join(map(str, books.ravel().tolist()))
+    return vector_codes.label_errors(coded).select(
+        "row.vec_id", "code", "error", "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality, op2_url_filters, op3_bpe, op4_pseudonyms, op5_simhash, op6_language,
-        op7_exact_dedup, op8_toxicity, op9_mix_sources, op10_host_rules)}
+        op7_exact_dedup, op8_toxicity, op9_mix_sources, op10_host_rules, op11_decontaminate,
+        op12_divergence, op13_vector_codes)}

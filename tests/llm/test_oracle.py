@@ -22,7 +22,7 @@ def duck():
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
     assert ORACLE.keys() <= entry.oracle_sql().keys()
 
