@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from gaceta import session
-from gaceta.llm import mixing, quality, queries, simhash
+from gaceta.llm import mixing, quality, queries
 from tests.llm.conftest import SF_MEDIUM
-from tests.llm.test_dedup import components_by_hand, lowered
+from tests.llm.test_dedup import lowered
+from tests.llm.test_jaccard import survivors_by_hand
 
 
 @pytest.fixture(scope="module")
@@ -54,8 +55,7 @@ def test_exact_stage(steps):
 def test_near_stage(steps):
     before, after = steps["SimHash near-dedup"]
     rows = [(r.doc_id, r.text) for r in before.select("doc_id", "text").collect()]
-    expected = components_by_hand(rows, simhash.SimHashParams())
-    assert {r.doc_id for r in after.collect()} == {c for _, c in expected.values()}
+    assert {r.doc_id for r in after.collect()} == survivors_by_hand(rows)
     assert after.count() < before.count()
 
 
