@@ -67,18 +67,21 @@ def _hits(column: str, aliases: tuple[str, ...]) -> str:
     return f"len(regexp_extract_all({column}, {_quote(pattern)}))"
 
 
-_scores = ", ".join(
-    f"3 * {_hits('ft', a)} + {_hits('fb', a)}" for a in GAZETTEER.values())
-REGION = f"""
-scored as (
-  select *, [{_scores}] as scores from (
-    select *, {FOLD.format('title')} as ft, {FOLD.format('substring(body, 1, 800)')} as fb
-    from clean)),
-placed as (
-  select * exclude (ft, fb, scores, best),
-    cast(case when best > 0 and len(list_filter(scores, lambda s: s = best)) = 1
-      then list_position(scores, best) else {len(GAZETTEER) + 1} end as integer) as region_id
-  from (select *, list_max(scores) as best from scored))"""
+def region_sql(gazetteer: dict[str, tuple[str, ...]], ids: list[int], name: str = "placed") -> str:
+    """The articles of ``clean`` with region_id; ``ids`` of the regions in order, the default's last."""
+    scores = ", ".join(f"3 * {_hits('ft', a)} + {_hits('fb', a)}" for a in gazetteer.values())
+    return f"""
+{name} as (
+  select * exclude (ft, fb, scores, best), ([{', '.join(map(str, ids))}])[cast(case
+      when best > 0 and len(list_filter(scores, lambda s: s = best)) = 1
+      then list_position(scores, best) else {len(gazetteer) + 1} end as integer)] as region_id
+  from (select *, list_max(scores) as best from (
+    select *, [{scores}] as scores from (
+      select *, {FOLD.format('title')} as ft, {FOLD.format('substring(body, 1, 800)')} as fb
+      from clean))))"""
+
+
+REGION = region_sql(GAZETTEER, [*range(1, len(GAZETTEER) + 2)])
 
 FACT = """
 fact as (
@@ -223,11 +226,75 @@ _UNIQUE_OUT = _CHECK.format(name="'5-unique-articles'", v="violations") + """ fr
     select article_id from fact union all select article_id from fact where month = 1))"""
 
 
-_TWO_RUNS_OUT = """select article_id, publish_date as fecha, lower(source) as source, year, month from (
-  select *, cast(year(d) as integer) as year, cast(month(d) as integer) as month,
-    row_number() over (partition by coalesce(month(d) <= 6, false), article_id order by _seq) as rn
-  from (select *, cast(try_strptime(trim(publish_date), '%Y-%m-%d') as date) as d from usable))
-where rn = 1 and d is not null"""
+def runs_sql(run: str) -> list[str]:
+    """What several runs load: ``run`` numbers the run a row is in by its month ``m`` (0: no date).
+
+    Each run keeps the first row of an article; an article that an earlier run has loaded
+    is not loaded again. Ids go by run, then by place.
+    """
+    first = "min(run * 1000000000000 + _seq)"
+    return [ARTICLES_SQL, f"""
+tagged as (
+  select *, {run} as run from (
+    select *, coalesce(month(pub_date), 0) as m from (
+      select *, cast(try_strptime(trim(publish_date), '%Y-%m-%d') as date) as pub_date from articles))),
+usable as (select * from tagged where article_id is not null and publish_date is not null),
+firsts as (
+  select * from usable qualify row_number() over (partition by run, article_id order by _seq) = 1),
+dated as (
+  select *, cast(year(pub_date) as integer) as year, cast(month(pub_date) as integer) as month
+  from firsts where pub_date is not null),
+clean as (select * from dated qualify row_number() over (partition by article_id order by run) = 1),
+dim_source as (
+  select source, cast(row_number() over (order by first_seq) as integer) as source_id
+  from (select lower(source) as source, {first} as first_seq from tagged
+        where source is not null group by 1)),
+dim_date as (
+  select fecha, cast(row_number() over (order by first_seq) as integer) as date_id
+  from (select publish_date as fecha, {first} as first_seq from tagged
+        where publish_date is not null group by 1))"""]
+
+
+_TWO_RUNS = runs_sql("case when m between 1 and 6 then 1 else 2 end")
+_TWO_RUNS_OUT = "select article_id, publish_date as fecha, lower(source) as source, year, month from clean"
+
+# Of an article in both halves, the first half's month decides; the later row is kept there.
+_HALVES = runs_sql("1 + _seq % 2")
+_HALVES_OUT = """select article_id, md5(body) as body_md5, year, month from dated d
+where not exists (select 1 from dated o where o.article_id = d.article_id and (
+  d.run = 1 and o.run = 2 and o.year = d.year and o.month = d.month
+  or d.run = 2 and o.run = 1 and not (o.year = d.year and o.month = d.month)))"""
+
+_FEWER = {n: a for n, a in GAZETTEER.items() if n != "Valparaiso"} | {"Puerto": ("valparaiso",)}
+_ONE = {"Metropolitana": GAZETTEER["Metropolitana"]}
+_PLACES = [*GAZETTEER, UNKNOWN_REGION]
+
+
+def _named_regions(ids: dict[str, int]) -> str:
+    return ", ".join(f"({i}, {_quote(n)})" for n, i in ids.items())
+
+
+# A region that comes new gets the next id; the one left out keeps its own.
+_VERSION_IDS = {n: i for i, n in enumerate([*_PLACES, "Puerto"], start=1)}
+_VERSIONS = [
+    *runs_sql("case when m <= 4 then 1 when m <= 8 then 2 else 3 end"), REGION,
+    region_sql(_FEWER, [_VERSION_IDS[n] for n in [*_FEWER, UNKNOWN_REGION]], "placed_anew")]
+_VERSIONS_OUT = f"""select article_id, region_id, region_version, year, month, region_name from (
+  select *, 1 as region_version from placed where run <> 2
+  union all select *, 2 from placed_anew where run = 2)
+join (values {_named_regions(_VERSION_IDS)}) r(region_id, region_name) using (region_id)"""
+
+_RESCORED_IDS = {n: i for i, n in enumerate(
+    ["Metropolitana", UNKNOWN_REGION, *[n for n in GAZETTEER if n != "Metropolitana"]], start=1)}
+_RESCORED = [
+    ARTICLES_SQL, CLEAN, region_sql(_ONE, [1, 2]),
+    region_sql(GAZETTEER, [_RESCORED_IDS[n] for n in _PLACES], "placed_anew")]
+_RESCORED_OUT = f"""select article_id, region_id, region_version, year, month, region_name from (
+  select *, 1 as region_version from placed where year <> 2023
+  union all select *, 2 from placed_anew where year = 2023)
+join (values {_named_regions(_RESCORED_IDS)}) r(region_id, region_name) using (region_id)"""
+
+_LATE = [*runs_sql("case when m <= 9 then 1 else 2 end"), DIM_REGION, REGION, FACT]
 
 # Lines with too many fields drop out before anything else; short ones are only counted.
 _CSV_METRICS_SQL = """
@@ -255,18 +322,25 @@ _JOB_FILES_OUT = " union all ".join(
          _REPORT_SERIES)))
 
 _LOST = _orphans("source_id", "dim_source")
-_REPORT_OUT = f"""select *, bool_and(passed) over () as all_passed from (
+def _report_sql(facts: str, rows: str) -> str:
+    return f"""select *, bool_and(passed) over () as all_passed from (
   select '1-referential' as "check", {_LOST} = 0 as passed, cast({_LOST} as bigint) as violations,
     case when {_LOST} = 0 then 'every id has its dimension row'
       else 'facts without a dimension row: date=0, source=' || {_LOST} || ', region=0' end as detail
   union all select '2-row-count', true, 0,
-    (select count(*) from fact) || ' facts of ' || (select count(*) from articles) || ' rows read'
+    {facts} || ' facts of ' || {rows} || ' rows read'
   union all select '3-primary-key/dim_' || unnest(['date', 'source', 'region']), true, 0, 'each id once'
   union all select '4-partitions', true, 0,
     'months found on disk: ' || (select count(distinct (year, month)) from fact)
   union all select '5-unique-articles', true, 0, 'each article once')"""
 
 
+_REPORT_OUT = _report_sql("(select count(*) from fact)", "(select count(*) from articles)")
+_REPORT_LATE_OUT = "select * exclude (all_passed) from (" + _report_sql(
+    "(select count(*) from fact where run = 2)", "(select count(*) from tagged where run = 2)") + ")"
+_TOP_WIDE_OUT = _TOP_OUT.replace("rank <= 20", "rank <= 1001")
+
+
 def oracle_sql() -> dict[str, str]:
     articles, clean = [ARTICLES_SQL], [ARTICLES_SQL, CLEAN]
     levels = " union all ".join(
@@ -312,7 +386,13 @@ def oracle_sql() -> dict[str, str]:
             "select article_id, region_id, region_name from placed join dim_region using (region_id)"),
         "fact_news": with_sql(ETL, _FACT_OUT),
         "etl_csv_roundtrip": with_sql(ETL, _FACT_OUT),
-        "etl_two_runs": with_sql(clean, _TWO_RUNS_OUT),
+        "etl_two_runs": with_sql(_TWO_RUNS, _TWO_RUNS_OUT),
+        "etl_merge_halves": with_sql(_HALVES, _HALVES_OUT),
+        "etl_region_versions": with_sql(_VERSIONS, _VERSIONS_OUT),
+        "etl_regions_rescored": with_sql(_RESCORED, _RESCORED_OUT),
+        "counts_incremental": with_sql([*_LATE, TERMS, COUNTS], levels),
+        "check_incremental": with_sql(_LATE, _REPORT_LATE_OUT),
+        "top_terms_wide": with_sql(ANALYSIS, _TOP_WIDE_OUT),
         "etl_metrics_csv": with_sql([ARTICLES_SQL, _CSV_METRICS_SQL], _CSV_METRICS_OUT),
         "job_files": with_sql([*ANALYSIS, SERIES.format(window=7, factor=1.5)], _JOB_FILES_OUT),
         "scan_years": with_sql(

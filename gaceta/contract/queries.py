@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from gaceta.params import Params, QueryParams, TokenParams
 from gaceta.plans import analytics, etl
 from gaceta.schema import RAW_COLUMNS
 from gaceta.sources import reports
-from gaceta.sources.warehouse import Warehouse, write_fact
+from gaceta.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARAMS = Params()
@@ -175,20 +176,98 @@ def _write_csv(articles: DataFrame, path: str) -> str:
     return path
 
 
+def _load(spark, articles: DataFrame, house: str, params: Params = PARAMS, **options) -> etl.EtlResult:
+    csv = _write_csv(articles, session.scratch_path(spark, "articles-csv"))
+    return etl.run_etl(spark, csv, house, params, **options)
+
+
+def _month_of(articles: DataFrame) -> DataFrame:
+    return articles.withColumn("_month", F.coalesce(F.month(dates.parse_day(F.col("publish_date"))), F.lit(0)))
+
+
+def _named(spark, house: Warehouse) -> DataFrame:
+    fact = house.fact(spark).select("article_id", "date_id", "source_id", "year", "month")
+    dim_date = house.read(spark, "dim_date").select("date_id", "fecha")
+    named = session.lookup_join(fact, session.materialize(dim_date), "date_id", spread="article_id")
+    named = session.lookup_join(named, house.read(spark, "dim_source"), "source_id", spread="article_id")
+    return named.select("article_id", "fecha", "source", "year", "month")
+
+
 def etl_two_runs(spark, sf_dir):
-    """Half the months loaded by one run, the others by a second into the same warehouse."""
+    """Three runs into one warehouse, the last of which brings articles that are there already.
+
+    First the months to June, then the others. Then articles of February to June again under
+    another date, and the whole of January once more as it was.
+    """
+    articles = _month_of(article_view(spark, sf_dir))
+    house = session.scratch_path(spark, "warehouse")
+    early = F.col("_month").between(1, 6)
+    _load(spark, articles.where(early), house)
+    _load(spark, articles.where(~early), house)
+    moved = articles.where("_month between 2 and 6 and _seq % 5 = 0").withColumn(
+        "publish_date", F.concat(F.lit("2031-12-"), F.substring("publish_date", 9, 2)))
+    return _named(spark, _load(
+        spark, moved.unionByName(articles.where("_month = 1")), house).warehouse)
+
+
+def etl_merge_halves(spark, sf_dir):
+    """Every month loaded in two halves, the second merged into what the first has written."""
     articles = article_view(spark, sf_dir)
-    day = dates.parse_day(F.col("publish_date"))
-    early = F.coalesce(F.month(day) <= 6, F.lit(False))
     house = session.scratch_path(spark, "warehouse")
-    for half in (early, ~early):
-        csv = _write_csv(articles.where(half), session.scratch_path(spark, "articles-csv"))
-        result = etl.run_etl(spark, csv, house, PARAMS)
-    read = lambda table: result.warehouse.read(spark, table)
-    fact = result.warehouse.fact(spark).select("article_id", "date_id", "source_id", "year", "month")
-    named = session.lookup_join(fact, read("dim_date").select("date_id", "fecha"), "date_id", spread="article_id")
-    named = session.lookup_join(named, read("dim_source"), "source_id", spread="article_id")
-    return named.select("article_id", "fecha", "source", "year", "month")
+    _load(spark, articles.where("_seq % 2 = 0"), house)
+    result = _load(spark, articles.where("_seq % 2 = 1"), house, overwrite="merge")
+    return result.warehouse.fact(spark).select(
+        "article_id", F.md5("body").alias("body_md5"), "year", "month")
+
+
+def etl_region_versions(spark, sf_dir):
+    """Two runs with two gazetteers, and a third that is the first's: whose region an article is in.
+
+    The second leaves out a region and adds another. Its months are not scored anew.
+    """
+    articles = _month_of(article_view(spark, sf_dir))
+    house = session.scratch_path(spark, "warehouse")
+    regions = PARAMS.regions.gazetteer
+    fewer = {n: a for n, a in regions.items() if n != "Valparaiso"} | {"Puerto": ("valparaiso",)}
+    changed = replace(PARAMS, regions=replace(PARAMS.regions, gazetteer=fewer))
+    for months, params in (((0, 4), PARAMS), ((5, 8), changed), ((9, 12), PARAMS)):
+        _load(spark, articles.where(F.col("_month").between(*months)), house, params)
+    return _region_names(spark, Warehouse(house))
+
+
+def _region_names(spark, house: Warehouse) -> DataFrame:
+    placed = house.fact(spark).select("article_id", "region_id", "region_version", "year", "month")
+    return placed.join(
+        F.broadcast(house.read(spark, "dim_region").select("region_id", "region_name")), "region_id")
+
+
+def etl_regions_rescored(spark, sf_dir):
+    """All articles loaded with a gazetteer of one region, then those of 2023 placed anew."""
+    house = session.scratch_path(spark, "warehouse")
+    one = {"Metropolitana": PARAMS.regions.gazetteer["Metropolitana"]}
+    poor = replace(PARAMS, regions=replace(PARAMS.regions, gazetteer=one))
+    _load(spark, article_view(spark, sf_dir), house, poor)
+    etl.rescore_regions(spark, house, PARAMS, years=(2023, 2023))
+    return _region_names(spark, Warehouse(house))
+
+
+def counts_incremental(spark, sf_dir):
+    """Counts after a second run: only its months are counted, and sums are of all months."""
+    articles = _month_of(article_view(spark, sf_dir))
+    house = session.scratch_path(spark, "warehouse")
+    for months in ((0, 9), (10, 12)):
+        _load(spark, articles.where(F.col("_month").between(*months)), house)
+        kept = analytics.warehouse_counts(spark, Warehouse(house), PARAMS)
+    return _levels(kept)
+
+
+def check_incremental(spark, sf_dir):
+    """The report after a second run, in which only the new months' facts were looked at."""
+    articles = _month_of(article_view(spark, sf_dir))
+    house = session.scratch_path(spark, "warehouse")
+    for months in ((0, 9), (10, 12)):
+        report = _load(spark, articles.where(F.col("_month").between(*months)), house).checks
+    return report
 
 
 def etl_metrics_csv(spark, sf_dir):
@@ -207,7 +286,8 @@ def etl_metrics_csv(spark, sf_dir):
     path = session.scratch_path(spark, "articles-csv")
     ordered.select(F.when(first, F.concat(F.lit(f"{header}\n"), "value")).otherwise(F.col("value"))) \
         .write.text(path)
-    return etl.run_etl(spark, path, session.scratch_path(spark, "warehouse"), PARAMS).metrics
+    result = etl.run_etl(spark, path, session.scratch_path(spark, "warehouse"), PARAMS)
+    return result.metrics.drop("skipped_known")
 
 
 def job_files(spark, sf_dir):
@@ -226,9 +306,7 @@ def job_files(spark, sf_dir):
 
 def scan_years(spark, sf_dir):
     """One year of a partitioned fact table: other years' files are never opened."""
-    house = Warehouse(session.scratch_path(spark, "warehouse"))
-    write_fact(_fact(spark, sf_dir)[0], house.path("fact_news"))
-    return house.fact(spark, years=(2023, 2023)).groupBy("year", "month", "region_id").agg(
+    return _built_warehouse(spark, sf_dir).fact(spark, years=(2023, 2023)).groupBy("year", "month", "region_id").agg(
         F.count(F.lit(1)).alias("articles"))
 
 
@@ -253,12 +331,13 @@ def counts_one_pass(spark, sf_dir):
 
 def _built_warehouse(spark, sf_dir) -> Warehouse:
     fact, dates, sources = _fact(spark, sf_dir)
-    house = Warehouse(session.scratch_path(spark, "warehouse"))
-    write_fact(fact, house.path("fact_news"))
-    dates.write.parquet(house.path("dim_date"))
-    sources.write.parquet(house.path("dim_source"))
-    keys.dim_region(spark, PARAMS.regions).write.parquet(house.path("dim_region"))
-    return house
+    run = Warehouse(session.scratch_path(spark, "warehouse")).begin(spark)
+    run.write_fact(fact, None)
+    run.replace("dim_date", dates)
+    run.replace("dim_source", sources)
+    run.replace("dim_region", keys.dim_region(spark, PARAMS.regions))
+    run.publish()
+    return Warehouse(run.root)
 
 
 def counts_reused(spark, sf_dir):
@@ -268,6 +347,10 @@ def counts_reused(spark, sf_dir):
         tokens=TokenParams(min_length=6), query=QueryParams(years=(2023, 2023))))
     analytics.warehouse_counts(spark, house, PARAMS)
     kept = analytics.warehouse_counts(spark, house, PARAMS)
+    return _levels(kept)
+
+
+def _levels(kept: analytics.Counts) -> DataFrame:
     parts = {"month": kept.month, "region": kept.region, "source": kept.source, "global": kept.world}
     filled = [df.withColumn("level", F.lit(level)) for level, df in parts.items()]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), filled)
@@ -282,6 +365,13 @@ def top_k_terms_month(spark, sf_dir):
     return analysis.top_terms_by_month(monthly, PARAMS.query)
 
 
+def top_terms_wide(spark, sf_dir):
+    """More terms per month than Spark cuts off in every task."""
+    monthly = session.materialize(counts.count_terms(
+        clean.clean_articles(article_view(spark, sf_dir)), counts.MONTH, PARAMS.tokens))
+    return analysis.top_terms_by_month(monthly, replace(PARAMS.query, top_k=analysis.TASK_RANKS + 1))
+
+
 def dist_words_region(spark, sf_dir):
     return _rounded(_region_words(spark, sf_dir), "ratio")
 
@@ -433,12 +523,13 @@ def queries() -> dict[str, Query]:
         first_seen_keys, dim_date, dim_source, dim_region, lookup_default,
         fold_text, word_count, tokens, repair_text, tidy_text, assign_region,
         fact_news, etl_csv_roundtrip, etl_two_runs, etl_metrics_csv, job_files, scan_years,
-        counts_day, counts_one_pass, counts_reused,
-        top_k_terms_month, dist_words_region, dist_global, kl_source,
+        etl_merge_halves, etl_region_versions, etl_regions_rescored,
+        counts_day, counts_one_pass, counts_reused, counts_incremental,
+        top_k_terms_month, top_terms_wide, dist_words_region, dist_global, kl_source,
         daily_series, peaks, peaks_events, peaks_articles,
         report_top_terms, report_region_words, report_kl, report_peaks, report_series,
         check_referential, check_rowcount, check_pk, check_partitions, check_unique_articles,
-        check_report,
+        check_report, check_incremental,
     ]
     levels = {f"counts_{level}": _count_query(level) for level in counts.LEVELS}
     return {q.__name__: q for q in plain} | levels

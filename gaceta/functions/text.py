@@ -107,6 +107,15 @@ def _decode_misread(text: Column) -> Column:
     return F.array_join(F.transform(pieces, fix), "")
 
 
+def _once_or_twice(text: Column) -> Column:
+    """Misread characters decoded; again where the result still shows one."""
+    again = lambda once: F.when(once.rlike(_MISREAD), _decode_misread(once)).otherwise(once)
+    # The array has one element, so the first round is not evaluated for each use of it.
+    return F.when(
+        text.rlike(_MISREAD), F.get(F.transform(F.array(_decode_misread(text)), again), F.lit(0))
+    ).otherwise(text)
+
+
 # --- Fixed values: what is tidied in a text under repair. ---
 SINGLE_QUOTES = "ʼ‘’‚‛"
 DOUBLE_QUOTES = "“”„‟"
@@ -138,7 +147,7 @@ def repair(text: Column) -> Column:
     Only texts that show a tell-tale character take the costly branch.
     """
     text = F.coalesce(text, F.lit(""))
-    decoded = _tidy(_decode_misread(_decode_misread(text)))
+    decoded = _tidy(_once_or_twice(text))
     # Byte searches for single characters cost about half of one regular expression.
     suspect = reduce(or_, [text.contains(sign) for sign in REPAIR_SIGNS])
     return (

@@ -6,17 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gaceta import session
 from gaceta.params import QueryParams
 
 
-def top_per_group(counts: DataFrame, groups: list[str], k: int) -> DataFrame:
+# Ranks up to this are cut off in every task by Spark itself (its default threshold).
+TASK_RANKS = 1000
+
+
+def top_per_group(
+    counts: DataFrame, groups: list[str], k: int, salts: int = session.SALTS,
+) -> DataFrame:
     """The ``k`` most frequent words per group with their rank; ties by word.
 
     Spark keeps k rows per group in every task before it shuffles, so a group that
-    holds most of the rows sends no more of them than any other.
+    holds most of the rows sends no more of them than any other. It does not do so for a
+    large k. Then each group is ranked in ``salts`` pieces first, and only the first k of
+    every piece are ranked together.
     """
-    order = W.partitionBy(*groups).orderBy(F.desc("n"), F.asc("word"))
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    rank = lambda *keys: F.row_number().over(
+        W.partitionBy(*keys).orderBy(F.desc("n"), F.asc("word")))
+    if k > TASK_RANKS:
+        salt = F.pmod(F.xxhash64("word"), F.lit(salts))
+        pieces = counts.withColumn("_salt", salt).withColumn("_place", rank(*groups, "_salt"))
+        counts = pieces.where(F.col("_place") <= k).drop("_salt", "_place")
+    # Without columns to group by, all rows are one group.
+    return counts.withColumn("rank", rank(*groups)).where(F.col("rank") <= k)
 
 
 def name_or_id(df: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:

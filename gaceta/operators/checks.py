@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaceta.operators import part_stats
+
 
 def _report(counted: DataFrame, name: str, violations: Column, good: Column, bad: Column) -> DataFrame:
     found = F.coalesce(violations, F.lit(0)).cast("long")
@@ -18,22 +20,28 @@ def _report(counted: DataFrame, name: str, violations: Column, good: Column, bad
     )
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """(key, n) of the fact ids that the dimension lacks.
+def orphans(per_id: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """(key, n) of the fact ids that the dimension lacks; ``per_id`` has (key, n facts).
 
-    Facts are counted per id before the anti-join; an id that a third of them share is
-    one row by then.
+    An id that a third of the facts share is one row by then.
     """
-    per_id = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return per_id.join(dim.select(key), key, "left_anti")
 
 
+def _per_id(fact: DataFrame, name: str) -> DataFrame:
+    return fact.groupBy(f"{name}_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def check_referential(
     fact: DataFrame, dim_date: DataFrame, dim_source: DataFrame, dim_region: DataFrame,
 ) -> DataFrame:
     dims = {"date": dim_date, "source": dim_source, "region": dim_region}
+    return _referential({name: _per_id(fact, name) for name in dims}, dims)
+
+
+def _referential(per_id: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
     lost = [
-        orphans(fact, dim, f"{name}_id").select(F.lit(name).alias("dim"), "n")
+        orphans(per_id[name], dim, f"{name}_id").select(F.lit(name).alias("dim"), "n")
         for name, dim in dims.items()
     ]
     count = lambda name: F.coalesce(F.sum(F.when(F.col("dim") == name, F.col("n"))), F.lit(0))
@@ -55,8 +63,11 @@ def check_row_count(
     """
     if months is not None:
         fact = fact.join(months.select("year", "month").distinct(), ["year", "month"], "left_semi")
-    counted = fact.agg(F.count(F.lit(1)).alias("rows")).withColumn(
-        "raw", raw_rows.select("raw_rows").scalar())
+    return _row_count(fact.agg(F.count(F.lit(1)).alias("rows")), raw_rows)
+
+
+def _row_count(rows: DataFrame, raw_rows: DataFrame) -> DataFrame:
+    counted = rows.withColumn("raw", raw_rows.select("raw_rows").scalar())
     text = F.concat(F.col("rows"), F.lit(" facts of "), F.col("raw"), F.lit(" rows read"))
     return _report(
         counted, "2-row-count", F.greatest(F.col("rows") - F.col("raw"), F.lit(0)), text, text)
@@ -72,9 +83,12 @@ def check_primary_key(dim: DataFrame, name: str, key: str) -> DataFrame:
 
 def check_partitions(fact: DataFrame, dim_date: DataFrame, partitions: DataFrame) -> DataFrame:
     """Every month the facts' dates fall in must be a partition (``year``, ``month``)."""
+    return _partitions(_per_id(fact, "date"), dim_date, partitions)
+
+
+def _partitions(per_date: DataFrame, dim_date: DataFrame, partitions: DataFrame) -> DataFrame:
     months = (
-        fact.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
-        .join(dim_date.select("date_id", "anio", "mes"), "date_id")
+        per_date.join(dim_date.select("date_id", "anio", "mes"), "date_id")
         .groupBy(F.col("anio").alias("year"), F.col("mes").alias("month")).agg(F.sum("n").alias("n"))
     )
     present = partitions.select("year", "month").distinct().withColumn("present", F.lit(1))
@@ -88,7 +102,10 @@ def check_partitions(fact: DataFrame, dim_date: DataFrame, partitions: DataFrame
 
 
 def check_unique_articles(fact: DataFrame) -> DataFrame:
-    counted = fact.agg((F.count(F.lit(1)) - F.count_distinct("article_id")).alias("dups"))
+    return _unique_articles(fact.agg((F.count(F.lit(1)) - F.count_distinct("article_id")).alias("dups")))
+
+
+def _unique_articles(counted: DataFrame) -> DataFrame:
     return _report(
         counted, "5-unique-articles", F.col("dups"),
         F.lit("each article once"), F.concat(F.lit("articles too many: "), F.col("dups")),
@@ -111,5 +128,34 @@ def check_warehouse(
     ])
 
 
+def fold_checks(
+    stats: DataFrame, repeats: DataFrame, dim_date: DataFrame, dim_source: DataFrame,
+    dim_region: DataFrame, raw_rows: DataFrame, partitions: DataFrame, months: DataFrame,
+) -> DataFrame:
+    """The report of ``check_warehouse`` from what is kept of every month, without the facts.
+
+    ``stats``: rows of ``part_stats`` of all months. ``repeats`` (article_id, year, month,
+    other_year, other_month): articles that two months hold.
+    """
+    dims = {"date": dim_date, "source": dim_source, "region": dim_region}
+    recent = stats.join(months.select("year", "month").distinct(), ["year", "month"], "left_semi")
+    place = lambda y, m: F.struct(F.col(y).alias("year"), F.col(m).alias("month"))
+    ends = F.explode(F.array(place("year", "month"), place("other_year", "other_month"))).alias("at")
+    # An article in so many months has one fact less than that too many.
+    held = repeats.select("article_id", ends).distinct().groupBy("article_id").agg(
+        (F.count(F.lit(1)) - 1).alias("n"))
+    over = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return reduce(DataFrame.unionByName, [
+        _referential({name: part_stats.per_id(stats, name) for name in dims}, dims),
+        _row_count(part_stats.total(recent, "rows").select(F.col("n").alias("rows")), raw_rows),
+        check_primary_key(dim_date, "dim_date", "date_id"),
+        check_primary_key(dim_source, "dim_source", "source_id"),
+        check_primary_key(dim_region, "dim_region", "region_id"),
+        _partitions(part_stats.per_id(stats, "date"), dim_date, partitions),
+        _unique_articles(part_stats.total(stats, "copies").select(
+            (F.col("n") + over.select("n").scalar()).alias("dups"))),
+    ])
+
+
 def all_passed(report: DataFrame) -> bool:
     return bool(report.agg(F.coalesce(F.bool_and("passed"), F.lit(True)).alias("ok")).first()["ok"])

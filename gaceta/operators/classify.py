@@ -61,14 +61,16 @@ def region_scores(text: Column, params: RegionParams) -> Column:
 
 def assign_region(
     df: DataFrame, title: str = "title", body: str = "body",
-    params: RegionParams = RegionParams(),
+    params: RegionParams = RegionParams(), region_ids: dict[str, int] | None = None,
 ) -> DataFrame:
     """Add ``region_id`` and ``region_name``: the one best score, else the default.
 
+    ``region_ids``: ids by name, if others than those by position are to be used.
+
     Score: title hits times ``title_weight`` plus hits in the first ``body_prefix``
     characters of the body times ``body_weight``.
     """
-    names, ids = params.scored, params.ids
+    names, ids = params.scored, region_ids or params.ids
     best = F.array_max("_scores")
     ahead = F.array_position("_scores", best)
     behind = F.array_position(F.reverse("_scores"), best)

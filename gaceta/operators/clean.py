@@ -51,9 +51,16 @@ def keep_first(
     broadcast if they measure small, or else hashed after one shuffle by (key, position),
     which spreads evenly however the keys are distributed.
     """
-    copies = session.materialize(later_copies(df, key, seq, limit))
-    small = session.fits_broadcast(copies, limit)
-    return df.join(copies.hint("broadcast" if small else "shuffle_hash"), [key, seq], "left_anti") \
+    return without_rows(df, session.materialize(later_copies(df, key, seq, limit)), key, seq, limit)
+
+
+def without_rows(
+    df: DataFrame, rows: DataFrame, key: str = "article_id", seq: str = "_seq",
+    limit: int = session.BROADCAST_BYTES,
+) -> DataFrame:
+    """``df`` less the (key, seq) of ``rows``, a materialised table that is the build side."""
+    small = session.fits_broadcast(rows, limit)
+    return df.join(rows.hint("broadcast" if small else "shuffle_hash"), [key, seq], "left_anti") \
         .select(*df.columns)
 
 
@@ -72,6 +79,21 @@ def clean_articles(raw: DataFrame) -> DataFrame:
     return parse_dates(keep_first(reject_null_keys(raw)))
 
 
+def repeats_elsewhere(
+    cleaned: DataFrame, known: DataFrame, replaced: DataFrame | None = None,
+) -> DataFrame:
+    """(article_id, _seq) of cleaned rows whose article the warehouse holds in another month.
+
+    ``known`` (article_id, year, month) says where it is held. Months that are ``replaced``
+    (year, month) hold nothing any more once the run is through.
+    """
+    if replaced is not None:
+        known = known.join(F.broadcast(replaced), ["year", "month"], "left_anti")
+    held = known.select("article_id", F.struct("year", "month").alias("_held"))
+    apart = F.col("_held") != F.struct("year", "month")
+    return cleaned.join(held, "article_id").where(apart).select("article_id", "_seq").distinct()
+
+
 def rejection_counts(
     raw: DataFrame, malformed: str | None = None, padded: str | None = None,
 ) -> DataFrame:

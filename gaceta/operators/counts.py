@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ REGION = ["region_id"]
 SOURCE = ["source_id"]
 GROUPED_SCHEMA = "year int, month int, region_id int, source_id int, word string, n long, level string"
 DAY_SCHEMA = "fecha string, n long"
+# What is kept of a month; sums over months give the rest.
+MONTH_LEVELS = {"month": MONTH, "region": [*MONTH, *REGION], "source": [*MONTH, *SOURCE]}
 LEVELS = {"month": MONTH, "region": REGION, "source": SOURCE, "global": []}
 
 
@@ -38,21 +42,28 @@ def resum(counts: DataFrame, keys: list[str]) -> DataFrame:
     return counts.groupBy(*keys, "word").agg(F.sum("n").alias("n"))
 
 
-def grouped_counts(articles: DataFrame, params: TokenParams = TokenParams()) -> DataFrame:
-    """All four term counts from one pass over the text, told apart by ``level``."""
+def grouped_counts(
+    articles: DataFrame, params: TokenParams = TokenParams(),
+    levels: dict[str, list[str]] = LEVELS,
+) -> DataFrame:
+    """Term counts on several levels from one pass over the text, told apart by ``level``.
+
+    Words are counted by all keys first. Only these sums, not every word of the text, are
+    copied for each level and summed up again.
+    """
     keys = [*MONTH, *REGION, *SOURCE]
-    rows = token_rows(articles, keys, params)
-    sets = [[*[F.col(k) for k in level], F.col("word")] for level in LEVELS.values()]
+    finest = count_terms(articles, keys, params)
+    sets = [[*[F.col(k) for k in level], F.col("word")] for level in levels.values()]
     # grouping_id has one bit per column, set where the column is summed away.
     columns = [*keys, "word"]
     ids = {
         name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns)
                   if c != "word" and c not in level)
-        for name, level in LEVELS.items()
+        for name, level in levels.items()
     }
     names = F.create_map(*[F.lit(x) for name, i in ids.items() for x in (i, name)])
-    counted = rows.groupingSets(sets, *[F.col(c) for c in columns]).agg(
-        F.grouping_id().cast("int").alias("_set"), F.count(F.lit(1)).alias("n"))
+    counted = finest.groupingSets(sets, *[F.col(c) for c in columns]).agg(
+        F.grouping_id().cast("int").alias("_set"), F.sum("n").alias("n"))
     return counted.select(names[F.col("_set")].alias("level"), *columns, "n")
 
 
@@ -61,12 +72,28 @@ def level_counts(grouped: DataFrame, level: str) -> DataFrame:
     return grouped.where(F.col("level") == level).select(*LEVELS[level], "word", "n")
 
 
+def months_summed(monthly: DataFrame) -> DataFrame:
+    """``grouped_counts`` of all levels from those of single months on MONTH_LEVELS."""
+    level = lambda name: monthly.where(F.col("level") == name)
+    parts = {
+        "month": level("month").select(*MONTH, "word", "n"),
+        "region": resum(level("region"), REGION), "source": resum(level("source"), SOURCE),
+        "global": resum(level("month"), [])}
+    filled = [df.withColumn("level", F.lit(name)) for name, df in parts.items()]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), filled)
+    return union.select("level", *MONTH, *REGION, *SOURCE, "word", "n")
+
+
 def articles_per_day(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """(fecha, n): articles by day; facts whose date has no dimension row are left out.
 
     Facts are counted per id first, so the join sees one row per day.
     """
-    per_id = fact.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
+    return days_summed(fact.groupBy("date_id").agg(F.count(F.lit(1)).alias("n")), dim_date)
+
+
+def days_summed(per_id: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """(fecha, n) from articles per date id."""
     return (
         per_id.join(dim_date.select("date_id", "fecha"), "date_id")
         .groupBy("fecha").agg(F.sum("n").alias("n"))

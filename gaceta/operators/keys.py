@@ -95,11 +95,26 @@ def dim_source(keys: DataFrame) -> DataFrame:
     return keys.select("source_id", "source")
 
 
-def dim_region(spark: SparkSession, params: RegionParams = RegionParams()) -> DataFrame:
+def region_ids(params: RegionParams, known: dict[str, int] | None = None) -> dict[str, int]:
+    """Ids of a gazetteer's regions, the default label included.
+
+    A name that is ``known`` keeps its id; others are numbered in order from the highest id
+    ever given, so an id never changes its meaning, also if a region goes and comes back.
+    """
+    known = known or {}
+    last = max(known.values(), default=0)
+    fresh = [name for name in params.ids if name not in known]
+    given = known | {name: last + i for i, name in enumerate(fresh, start=1)}
+    return {name: given[name] for name in params.ids}
+
+
+def dim_region(
+    spark: SparkSession, params: RegionParams = RegionParams(), ids: dict[str, int] | None = None,
+) -> DataFrame:
     """One row per gazetteer region, the default label last."""
     rows = [
         (i, name, *REGION_ATTRIBUTES.get(name, ("", "")))
-        for name, i in params.ids.items()
+        for name, i in (params.ids if ids is None else ids).items()
     ]
     return spark.createDataFrame(rows, REGION_SCHEMA)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from gaceta.operators.membership import IndexParams
+
 # --- Fixed values: results depend on these lists being exactly as stated. ---
 
 GAZETTEER: dict[str, tuple[str, ...]] = {
@@ -148,6 +151,12 @@ class RegionParams:
             names.append(self.default_label)
         return {name: i for i, name in enumerate(names, start=1)}
 
+    @property
+    def definition(self) -> str:
+        """All that the region of an article depends on, as JSON."""
+        own = dict(vars(self), gazetteer={n: list(a) for n, a in self.gazetteer.items()})
+        return json.dumps(own, ensure_ascii=False, sort_keys=True)
+
 
 @dataclass(frozen=True)
 class TokenParams:
@@ -175,5 +184,6 @@ class Params:
     regions: RegionParams = field(default_factory=RegionParams)
     tokens: TokenParams = field(default_factory=TokenParams)
     query: QueryParams = field(default_factory=QueryParams)
+    index: IndexParams = field(default_factory=IndexParams)
     # True: "2023-1-5" and "2023-01-05" are one day. False: key on the text as given.
     canonical_dates: bool = True

@@ -6,14 +6,17 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gaceta.operators import analysis, counts
 from gaceta.params import Params
 from gaceta.plans.etl import EtlResult, run_etl
 from gaceta.sources import reports
-from gaceta.sources.warehouse import CountStore, Warehouse
+from gaceta.sources.warehouse import FACT, CountStore, Part, PartStore, Warehouse
 
 DAY = "day"
+MONTH_TERMS = ["year", "month", "level", "region_id", "source_id", "word", "n"]
+TERMS = "level string, region_id int, source_id int, word string, n long"
 
 
 @dataclass(frozen=True)
@@ -35,10 +38,32 @@ class Results:
     series: DataFrame
 
 
-def _counted_what(spark: SparkSession, warehouse: Warehouse, params: Params) -> str:
-    """Names the counts: what they depend on, and the state of the warehouse."""
-    said = repr((params.tokens, params.query.years, warehouse.run_id(spark)))
-    return hashlib.sha256(said.encode()).hexdigest()[:32]
+def _hash(*said) -> str:
+    return hashlib.sha256(repr(said).encode()).hexdigest()[:32]
+
+
+def month_counts(spark: SparkSession, warehouse: Warehouse, params: Params) -> PartStore:
+    """Counts kept per month of the fact, for one set of term parameters."""
+    return PartStore(spark, warehouse.path(f"month_counts/{_hash(params.tokens)}"))
+
+
+def count_months(
+    spark: SparkSession, warehouse: Warehouse, params: Params = Params(), again: bool = False,
+) -> list[Part]:
+    """Count the months whose facts have not been counted yet, or all of them; which they were.
+
+    No other month's text is read.
+    """
+    house = warehouse.pinned(spark)
+    parts = house.parts_of(spark, FACT, params.query.years)
+    store = month_counts(spark, house, params)
+    missing = parts if again else store.missing(parts)
+    if missing:
+        fact = house.fact(spark, parts=missing)
+        store.add(missing, {
+            "terms": counts.grouped_counts(fact, params.tokens, counts.MONTH_LEVELS).select(*MONTH_TERMS),
+            "day": fact.groupBy("year", "month", "date_id").agg(F.count(F.lit(1)).alias("n"))})
+    return missing
 
 
 def warehouse_counts(
@@ -46,16 +71,22 @@ def warehouse_counts(
 ) -> Counts:
     """The five counts, from the store if a finished run is there, else computed and kept.
 
-    Counts are stored for the term parameters, the years and the ETL run they were made
-    from; others are not taken for them.
+    They are stored for the term parameters and the months they were made from, each as one
+    run wrote it; others are not taken for them. What is not there is summed from the counts
+    of single months, of which only those of new or changed months are made.
     """
-    store = CountStore(spark, warehouse.path("counts"), _counted_what(spark, warehouse, params))
+    house = warehouse.pinned(spark)
+    parts = house.parts_of(spark, FACT, params.query.years)
+    named = sorted((p.year, p.month, p.run) for p in parts)
+    store = CountStore(spark, house.path("counts"), _hash(params.tokens, params.query.years, named))
     run = None if refresh else store.current()
     if run is None:
         run = store.new_run()
-        fact = warehouse.fact(spark, params.query.years)
-        store.write(run, "terms", counts.grouped_counts(fact, params.tokens), by="level")
-        store.write(run, DAY, counts.articles_per_day(fact, warehouse.read(spark, "dim_date")))
+        count_months(spark, house, params, again=refresh)
+        months = month_counts(spark, house, params)
+        store.write(run, "terms", counts.months_summed(months.read("terms", TERMS, parts)), by="level")
+        per_id = months.read("day", "date_id int, n long", parts)
+        store.write(run, DAY, counts.days_summed(per_id, house.read(spark, "dim_date")))
         store.publish(run)
     terms = store.read(run, "terms", counts.GROUPED_SCHEMA)
     return Counts(
@@ -84,6 +115,7 @@ def read_counts_json(spark: SparkSession, folder: str) -> Counts:
 def query_results(
     spark: SparkSession, warehouse: Warehouse, params: Params = Params(), refresh: bool = False,
 ) -> Results:
+    warehouse = warehouse.pinned(spark)
     c = warehouse_counts(spark, warehouse, params, refresh)
     q = params.query
     return Results(
@@ -122,6 +154,6 @@ def run_all(
     spark: SparkSession, articles: str | list[str], warehouse: str, folder: str | None = None,
     params: Params = Params(), **etl_options,
 ) -> tuple[EtlResult, Results]:
-    """Build the warehouse, then answer the queries on fresh counts."""
+    """Build the warehouse, then answer the queries; only the months of this run are counted."""
     etl = run_etl(spark, articles, warehouse, params, **etl_options)
-    return etl, run_queries(spark, warehouse, folder, params, refresh=True)
+    return etl, run_queries(spark, warehouse, folder, params)

@@ -15,6 +15,8 @@ FACT_SCHEMA = T.StructType([
     T.StructField("body", T.StringType()),
     T.StructField("title_word_count", T.IntegerType()),
     T.StructField("body_word_count", T.IntegerType()),
+    # The gazetteer that placed the article.
+    T.StructField("region_version", T.IntegerType()),
 ])
 
 # Partition columns as they come back from the path ("month=01" reads as 1).
@@ -29,3 +31,16 @@ REGION_SCHEMA = T.StructType([
     T.StructField("n_romano", T.StringType()),
     T.StructField("abreviacion", T.StringType()),
 ])
+
+TABLE_SCHEMAS: dict[str, T.StructType | str] = {
+    "dim_date": "date_id int, fecha string, anio int, mes int, dia int, dia_semana string, semana_anio int",
+    "dim_date_keys": "date_id int, fecha string",
+    "dim_source": "source_id int, source string",
+    "dim_source_keys": "source_id int, source string",
+    "dim_region": REGION_SCHEMA,
+    "gazetteers": "region_version int, definition string",
+    "checks": "check string, passed boolean, violations long, detail string",
+    "etl_metrics": "raw_rows long, malformed long, skipped_null long, skipped_dup long, bad_date long, "
+                   "written long, padded long, skipped_known long",
+    "index_params": "buckets int, words int, probes int",
+}

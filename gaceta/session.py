@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,8 +73,47 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _job_folder.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, without hidden ones; none if there is no such folder."""
+    files, path = _file_system(spark, folder)
+    names = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def create_file(spark: SparkSession, name: str, text: str) -> bool:
+    """Write a small file that must not be there yet; False if it is.
+
+    It is written under another name first, so nobody sees half of it.
+    """
+    files, path = _file_system(spark, name)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(path.getParent(), f"_{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(path) or not files.rename(draft, path):
+        files.delete(draft, False)
+        return False
+    return True
+
+
+def together(*calls: Callable[[], Any]) -> list:
+    """Run calls that do not wait for one another, so that their small jobs share the cluster."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        running = [pool.submit(copy_context().run, call) for call in calls]
+        return [r.result() for r in running]
 
 
 def materialize(df: DataFrame) -> DataFrame:
