@@ -6,6 +6,7 @@ All of them are built-in expressions, so the rows never leave the JVM.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache, reduce
 from operator import or_
 
@@ -107,13 +108,18 @@ def _decode_misread(text: Column) -> Column:
     return F.array_join(F.transform(pieces, fix), "")
 
 
-def _once_or_twice(text: Column) -> Column:
-    """Misread characters decoded; again where the result still shows one."""
-    again = lambda once: F.when(once.rlike(_MISREAD), _decode_misread(once)).otherwise(once)
-    # The array has one element, so the first round is not evaluated for each use of it.
-    return F.when(
-        text.rlike(_MISREAD), F.get(F.transform(F.array(_decode_misread(text)), again), F.lit(0))
-    ).otherwise(text)
+# The class in front lets the search pass over other characters quickly.
+_SOME_MISREAD = rf"(?=[{_LEADS}])(?:{_MISREAD})"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``; the array of one element keeps ``value`` from being evaluated per use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _decoded(text: Column) -> Column:
+    """Misread characters decoded; a text that shows none is not taken apart."""
+    return F.when(text.rlike(_SOME_MISREAD), _decode_misread(text)).otherwise(text)
 
 
 # --- Fixed values: what is tidied in a text under repair. ---
@@ -141,17 +147,22 @@ def _tidy(text: Column) -> Column:
     return F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), *_tidy_map())
 
 
+def _with_vowels(text: Column) -> Column:
+    found = reduce(or_, [text.contains(c) for c in VOWEL_STAND_INS])
+    return F.when(found, F.translate(text, VOWEL_STAND_INS, VOWELS)).otherwise(text)
+
+
 def repair(text: Column) -> Column:
     """Undo UTF-8 read as Latin-1 or Windows-1252 (also twice over); null becomes "".
 
     Only texts that show a tell-tale character take the costly branch.
     """
     text = F.coalesce(text, F.lit(""))
-    decoded = _tidy(_once_or_twice(text))
+    repaired = _let(_let(_let(_decoded(text), _decoded), _tidy), _with_vowels)
     # Byte searches for single characters cost about half of one regular expression.
     suspect = reduce(or_, [text.contains(sign) for sign in REPAIR_SIGNS])
     return (
-        F.when(suspect, F.translate(decoded, VOWEL_STAND_INS, VOWELS))
+        F.when(suspect, repaired)
         .when(text.contains(VOWEL_STAND_INS[-1]), F.translate(text, VOWEL_STAND_INS, VOWELS))
         .otherwise(text)
     )
