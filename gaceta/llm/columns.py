@@ -42,6 +42,6 @@ def packed(df: DataFrame, **own: Column) -> DataFrame:
 def unpacked(df: DataFrame, columns: list[str], **own: Column) -> DataFrame:
     """Input columns back at top level; an operator's column replaces one of the same name."""
     return df.select(
-        *[F.col("row").getField(c).alias(c) for c in columns if c not in own],
+        *[df["row"].getField(c).alias(c) for c in columns if c not in own],
         *[c.alias(n) for n, c in own.items()],
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gaceta.llm.ngrams import word_ngrams
 
+# Letters, and 1151 numerals and the like that are told apart afterwards.
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 REMEMBERED = 1 << 18
@@ -40,8 +41,11 @@ def word_trigrams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarra
 
 
 def text_words(text: str) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return LETTERS.findall(text.lower())
+    """Runs of letters (general category L), lower-cased."""
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 @dataclass(frozen=True)

@@ -83,13 +83,15 @@ def mix_sources(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     Adds ``copy`` (1, 2, ...; it replaces an input column of that name) and keeps all other
     columns as they are. The draw inverts the distribution at a number hashed from doc_id,
     so the same id and seed always give the same count; rows that repeat an id repeat its
-    count. Texts are not looked at; null sources are mixed as one. An empty table gives an
-    empty result. Rows move once: to a random task, and to a random place inside it.
+    count. A row without id draws from a hash of its other columns. Null sources are mixed
+    as one. An empty table gives an empty result. Rows move once: to a random task, and to a
+    random place inside it, which ids, texts and copies decide, so rows without id or with
+    one id spread as well.
     """
     table = session.materialize(poisson_table(source_rates(docs, params)))
     names = [c for c in docs.columns if c != "copy"]
     own = docs.select(F.struct(*names).alias("row"))
-    row_id = F.col("row.doc_id")
+    row_id = F.coalesce(F.col("row.doc_id").cast("string"), F.md5(F.to_json("row")))
     keyed = own.withColumn("source", F.coalesce("row.source", F.lit(params.unnamed)))
     drawn = session.lookup_join(keyed, table, "source", spread=row_id)
     count = F.aggregate(
@@ -101,7 +103,8 @@ def mix_sources(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     copies = (
         drawn.where(F.col("rate") > 0).withColumn("u", draws).withColumn("n", count)
         .where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")))
-    place = F.xxhash64(row_id, "copy", F.lit(params.seed))
+    text = [F.col("row").getField("text")] if "text" in names else []
+    place = F.xxhash64(row_id, *text, "copy", F.lit(params.seed))
     return (
         copies.withColumn("place", place).repartition("place").sortWithinPartitions("place")
         .select(*[F.col("row").getField(c).alias(c) for c in names], "copy"))

@@ -22,6 +22,9 @@ ROUNDS = 10
 # Days of the 400-year cycle of the calendar: 189 * 773.
 CYCLE, CYCLE_LEFT, CYCLE_RIGHT = 146097, 189, 773
 FIRST_DAY, FIRST_YEAR = "1600-01-01", 1600
+# --- Fixed values: country codes of telephone numbers, of one, two, or else three digits. ---
+COUNTRY_CODE = (r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})")
+# --- End of fixed values. ---
 # Symbols of a text that are permuted together; each half is a number below 26 ** 12.
 BLOCK = 24
 
@@ -47,7 +50,8 @@ CANDIDATE = (f"{EMAIL}|(?<![0-9A-Za-z.])(?:(?:{_DATES}){_DATE_BORDER}|"
 
 @dataclass(frozen=True)
 class PseudonymParams:
-    key: str = "gaceta-pseudonyms"
+    # The secret: whoever has it can undo the pseudonyms, whoever has not cannot.
+    key: str
 
 
 def _round(key: str, tweak: Column, i: Column, half: Column) -> Column:
@@ -210,10 +214,10 @@ def _cards(key: str, match: Column) -> Column:
 
 
 def _phone(key: str, match: Column) -> Column:
-    """The country code after a plus sign stays: up to a separator, or else its first digit."""
-    code = F.when(match.startswith("+"), F.coalesce(
-        F.nullif(F.regexp_extract(match, r"^\+([0-9]{1,3})[ (-]", 1), F.lit("")),
-        F.substring(match, 2, 1))).otherwise("")
+    """The country code after a plus sign stays, however the number is cut into groups."""
+    code = F.when(match.startswith("+"), F.regexp_extract(
+        _digits(match), COUNTRY_CODE, 0)).otherwise("")
+
     def renewed(c: Column) -> Column:
         rest = F.substring(_digits(match), F.length(c) + 1, F.length(match))
         return _dressed(F.concat(c, permute_symbols(key, "phone", rest)), match)
@@ -285,12 +289,13 @@ def pseudonym(key: str, match: Column) -> Column:
         new.alias("new"), F.when(new.isNotNull(), 1).otherwise(0).alias("n"))))
 
 
-def pseudonymise(docs: DataFrame, params: PseudonymParams = PseudonymParams()) -> DataFrame:
+def pseudonymise(docs: DataFrame, params: PseudonymParams) -> DataFrame:
     """All rows of ``docs`` with valid values in ``text`` replaced, and ``n_replaced``.
 
     A number that fails its check (Luhn, octets up to 255, the calendar, years from 1600)
     stays as it is. Null texts stay null and have none. Texts are read whole; rows do not
-    move; other columns come along, an input column named n_replaced excepted.
+    move; other columns come along, an input column named n_replaced excepted. Empty texts
+    stay empty, repeated rows get the same pseudonyms, an empty table stays one.
     """
     text, key = F.col("text"), params.key
     hits = F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), F.lit(0))

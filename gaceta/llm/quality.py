@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaceta.llm import samples
 from gaceta.llm.ngrams import word_ngrams
@@ -164,33 +165,34 @@ def fit(
 
 def score(
     docs: DataFrame, model: tuple[np.ndarray | None, float],
-    params: QualityParams = QualityParams(),
+    params: QualityParams = QualityParams(), keep: list[str] | None = None,
 ) -> DataFrame:
     """All rows of ``docs`` with ``score``: the probability that the label is 1.
 
     Whole texts are read; null counts as empty, and an empty text is scored by the end mark
-    alone. Rows stay in their tasks. A model without weights gives every row the share of
-    label 1. A column named score is replaced.
+    alone. Rows stay in their tasks, repeated ones are scored one by one, an empty table stays
+    one. A model without weights gives every row the share of label 1. A column named score
+    is replaced. ``keep``: the columns that come along, all if none are named; the text is
+    sent to the workers once, and comes back only if it is among them.
     """
     weights, share = model
-    names = [c for c in docs.columns if c != "score"]
+    names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
+    column = lambda c: F.col(f"`{c}`")
     if weights is None:
-        return docs.select(*names, F.lit(share).cast("double").alias("score"))
+        return docs.select(*map(column, names), F.lit(share).cast("double").alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # one number per bucket
+    inputs = {c: f"in_{i}" for i, c in enumerate(names)}
+    sent = inputs | ({} if "text" in inputs else {"text": "in_text"})
+    numbered = docs.select(*[column(c).alias(i) for c, i in sent.items()])
+    schema = T.StructType([*[numbered.schema[i] for i in inputs.values()], T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value, params)
         for batch in batches:
-            odds = np.array([scorer.log_odds(t.as_py() or "") for t in batch.column("in_text")])
+            odds = np.array([scorer.log_odds(t.as_py() or "") for t in batch.column(sent["text"])])
             p = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(p)], schema_names)
-
-    inputs = [f"in_{i}" for i in range(len(names))]
-    schema_names = [*inputs, "score"]
-    numbered = docs.select(*[F.col(c).alias(i) for c, i in zip(names, inputs)],
-                           F.col("text").alias("in_text"))
-    types = [numbered.schema[i].dataType.simpleString() for i in inputs]
-    out = numbered.mapInArrow(
-        run, ", ".join(f"{i} {t}" for i, t in zip(inputs, types)) + ", score double")
-    return out.select(*[F.col(i).alias(c) for c, i in zip(names, inputs)], "score")
+            kept = [batch.column(i) for i in inputs.values()]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(p, pa.float64())], schema.names)
+
+    out = numbered.mapInArrow(run, schema)
+    return out.select(*[F.col(i).alias(c) for c, i in inputs.items()], "score")

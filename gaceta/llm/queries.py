@@ -27,7 +27,7 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     params = quality.QualityParams()
-    scored = quality.score(docs, quality_model(spark, docs, sf_dir), params)
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), params, keep=["doc_id"])
     return scored.select(
         "doc_id", (columns.remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
         (F.col("score") >= params.threshold).cast("int").alias("predicted"))
@@ -53,7 +53,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymise(docs)
+    # A key for tests; production passes its own secret.
+    return pseudonyms.pseudonymise(docs, pseudonyms.PseudonymParams(key="gaceta-pseudonyms"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

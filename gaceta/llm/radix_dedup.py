@@ -29,9 +29,10 @@ class RadixParams:
     digit: int = 32
     growth: int = 8
     longest_digit: int = 1 << 16
-    # A group this large is split across the cluster, not inside a task: bytes, or rows
-    # that are also at least 1/hot_groups of all rows in groups.
+    # A group this large is split across the cluster, not inside a task: bytes, or rows, or
+    # fewer rows that are also at least 1/hot_groups of all rows in groups.
     hot_bytes: int = 64 << 20
+    most_rows: int = 1 << 20
     hot_rows: int = 1000
     hot_groups: int = 2000
     broadcast_bytes: int = session.BROADCAST_BYTES
@@ -112,7 +113,7 @@ def _groups(rows: DataFrame, *more: Column) -> DataFrame:
 
 def _hot(groups: DataFrame, params: RadixParams) -> Column:
     rows = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
-    return (F.col("bytes") >= params.hot_bytes) | (
+    return (F.col("bytes") >= params.hot_bytes) | (F.col("n") >= params.most_rows) | (
         (F.col("n") >= params.hot_rows) & (F.col("n") >= rows / params.hot_groups))
 
 

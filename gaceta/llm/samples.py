@@ -14,7 +14,8 @@ def labelled_texts(
 
     ``usable`` and ``targets`` are expressions over ``labels``. An id that is labelled more
     than once takes the smallest value of each target. Ids and their labels are few enough to
-    be broadcast, since ``rows`` bounds them; texts are read whole.
+    be broadcast, since ``rows`` bounds them; texts are read whole. Of rows that share a
+    chosen id the smallest text counts, so no more rows than ids come out.
     """
     chosen = (
         labels.where(usable & F.col("doc_id").isNotNull())
@@ -22,4 +23,5 @@ def labelled_texts(
         .groupBy("doc_id").agg(*[F.min(n).alias(n) for n in targets])
         .na.drop().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), *[F.min(n).alias(n) for n in targets])

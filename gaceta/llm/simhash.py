@@ -306,7 +306,9 @@ def linked_groups(prints: DataFrame, params: SimHashParams = SimHashParams()) ->
     named = session.materialize(distinct.join(
         joined.withColumnRenamed("component", "component_id"), "id", "left")
         .select(*keys, F.coalesce("component_id", "id").alias("component_id")))
-    return prints.join(named, keys).select("doc_id", *lanes, "size", "component_id")
+    # A fingerprint may be that of many rows: the names are broadcast or each key is split.
+    joined = session.lookup_join(prints, named, keys, spread="doc_id", how="inner")
+    return joined.select("doc_id", *lanes, "size", "component_id")
 
 
 def near_duplicates(docs: DataFrame, params: SimHashParams = SimHashParams()) -> DataFrame:

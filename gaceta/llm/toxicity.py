@@ -24,8 +24,9 @@ REMEMBERED = 1 << 18
 
 @dataclass(frozen=True)
 class ToxicityParams:
-    # Chain order: toxic at all, toxic in good prose, toxic in a text of low quality.
-    categories: tuple[str, ...] = ("toxic", "toxic_prose", "toxic_junk")
+    # Chain order: toxic in good prose, toxic in a text of low quality, toxic at all. The last
+    # decides, and its model sees the probabilities of all before it.
+    categories: tuple[str, ...] = ("toxic_prose", "toxic_junk", "toxic")
     # Labelled rows the chain is fitted on, at most.
     train_rows: int = 12000
     buckets: int = 1 << 18
@@ -38,7 +39,7 @@ class ToxicityParams:
 def default_targets() -> dict[str, Column]:
     """The categories of ``ToxicityParams`` as expressions over (quality, toxic)."""
     toxic, good = F.col("toxic") > 0, F.col("quality") > 0
-    return {"toxic": toxic, "toxic_prose": toxic & good, "toxic_junk": toxic & ~good}
+    return {"toxic_prose": toxic & good, "toxic_junk": toxic & ~good, "toxic": toxic}
 
 
 def word_buckets(text: str, buckets: int) -> np.ndarray:
@@ -104,7 +105,7 @@ def predict_linear(x: Sparse, earlier: np.ndarray, weights: np.ndarray) -> np.nd
 class Chain:
     # One weight vector per category, in chain order.
     weights: list[np.ndarray]
-    # From this probability of the first category on, a text counts as toxic.
+    # From this probability of the last category on, a text counts as toxic.
     threshold: float
 
 
@@ -130,7 +131,7 @@ def fit_chain(rows: list[np.ndarray], targets: np.ndarray, params: ToxicityParam
             held_out[fold == k] = predict_linear(x, earlier, part)[fold == k]
         weights.append(fit_linear(x, earlier, y, np.arange(x.n), params))
         earlier = np.column_stack([earlier, held_out])
-    return Chain(weights, best_threshold(earlier[:, 0], targets[:, 0]))
+    return Chain(weights, best_threshold(earlier[:, -1], targets[:, -1]))
 
 
 class ChainScorer:
@@ -203,7 +204,7 @@ def score(
 ) -> DataFrame:
     """(doc_id, toxic, score, p_<category>...) of every row.
 
-    ``score`` is the probability of the first category and ``toxic`` says whether it
+    ``score`` is the probability of the last category and ``toxic`` says whether it
     reaches the chain's threshold. Whole texts are read; null counts as empty. Without a trained
     chain all probabilities are 0. Rows stay in their tasks; other columns are not read.
     """
@@ -221,6 +222,6 @@ def score(
                 [batch.column("doc_id"), *map(pa.array, p.T)], ["doc_id", *names])
 
     scored = docs.select("doc_id", "text").mapInArrow(run, schema)
-    first, threshold = F.col(names[0]), chain.threshold if chain else 1.0
+    last, threshold = F.col(names[-1]), chain.threshold if chain else 1.0
     return scored.select(
-        "doc_id", (first >= threshold).alias("toxic"), first.alias("score"), *names)
+        "doc_id", (last >= threshold).alias("toxic"), last.alias("score"), *names)

@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from gaceta import session
-from gaceta.llm import mixing, quality, queries
+from gaceta.llm import mixing, quality, queries, simhash
 from tests.llm.conftest import SF_MEDIUM
-from tests.llm.test_dedup import lowered
-from tests.llm.test_jaccard import survivors_by_hand
+from tests.llm.test_dedup import components_by_hand, lowered
 
 
 @pytest.fixture(scope="module")
@@ -55,8 +54,18 @@ def test_exact_stage(steps):
 def test_near_stage(steps):
     before, after = steps["SimHash near-dedup"]
     rows = [(r.doc_id, r.text) for r in before.select("doc_id", "text").collect()]
-    assert {r.doc_id for r in after.collect()} == survivors_by_hand(rows)
-    assert after.count() < before.count()
+    expected = components_by_hand(rows, simhash.NARROW)
+    assert {r.doc_id for r in after.collect()} == {c for _, c in expected.values()}
+
+
+def test_near_stage_drops_rows_not_ids(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    near = text.replace("w299", "W299")
+    rows = [(1, text), (2, near), (2, "something else altogether"), (None, text), (None, "nobody else has this")]
+    docs = spark.createDataFrame([(i, t, "es", "s", 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = {(r.doc_id, r.text) for r in pipeline.near_stage(spark, docs, "").collect()}
+    assert left == {(1, text), (2, "something else altogether"), (None, "nobody else has this")}
 
 
 def test_mix_stage(steps):

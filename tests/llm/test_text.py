@@ -165,7 +165,7 @@ INVALID = ["4417744280351548", "300.1.1.1", "2023-02-30", "31/12/2021", "1599-12
 
 def replaced(spark, texts, **params):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = pseudonyms.pseudonymise(docs, pseudonyms.PseudonymParams(**params)).orderBy("doc_id").collect()
+    rows = pseudonyms.pseudonymise(docs, pseudonyms.PseudonymParams(**{"key": "gaceta-pseudonyms"} | params)).orderBy("doc_id").collect()
     return [(r.text, r.n_replaced) for r in rows]
 
 
@@ -225,13 +225,13 @@ def test_pseudonyms_query_and_edges(spark, documents, awkward):
     assert len(rows) == len(texts)
     candidate = re.compile(pseudonyms.CANDIDATE)
     for r in rows:
-        key = pseudonyms.PseudonymParams().key
+        key = "gaceta-pseudonyms"
         assert r.text == candidate.sub(lambda m: pseudonym_by_hand(m[0], key), texts[r.doc_id])
     assert sum(r.n_replaced for r in rows) > 0
-    out = pseudonyms.pseudonymise(awkward)
+    out = pseudonyms.pseudonymise(awkward, pseudonyms.PseudonymParams("k"))
     assert out.columns == [*awkward.columns, "n_replaced"] and out.count() == awkward.count()
     assert sorted(out.drop("n_replaced").collect(), key=repr) == sorted(awkward.collect(), key=repr)
-    assert pseudonyms.pseudonymise(awkward.limit(0)).collect() == []
+    assert pseudonyms.pseudonymise(awkward.limit(0), pseudonyms.PseudonymParams("k")).collect() == []
 
 
 def repeats_by_hand(words):
