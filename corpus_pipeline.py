@@ -1,4 +1,8 @@
-"""A training corpus from the ``documents`` table, stage by stage."""
+"""A training corpus from the ``documents`` table, stage by stage.
+
+Every stage takes null and empty texts, repeated rows, empty tables and further columns, which
+it does not pass on; what becomes of such rows stands with the operator it calls.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gaceta import session  # noqa: E402
-from gaceta.llm import bpe, jaccard, mixing, quality, queries, radix_dedup  # noqa: E402
+from gaceta.llm import bpe, mixing, quality, queries, radix_dedup, simhash  # noqa: E402
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -29,14 +33,24 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id.
+    """One row of each group whose 3-word SimHashes are linked at two bits or fewer: the one
+    with the smallest doc_id, of rows that share it or have none the smallest digest.
 
-    Sets of 5-word shingles of Jaccard similarity 0.8 or more; SimHash finds the candidates.
+    Rows are told apart by numbers unless their ids do, so a row goes only for its own text.
     """
-    dropped = session.materialize(jaccard.near_copies(docs).select("doc_id"))
-    if session.fits_broadcast(dropped):
-        dropped = F.broadcast(dropped)
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+    named = docs.withColumn("number", F.col("doc_id"))
+    if rows["n"] != rows["ids"]:
+        digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+        ordered = docs.orderBy(F.asc_nulls_last("doc_id"), digest)
+        named = session.materialize(ordered.withColumn("number", F.monotonically_increasing_id()))
+    found = simhash.near_duplicates(
+        named.select(F.col("number").alias("doc_id"), "text"), simhash.NARROW)
+    dropped = session.materialize(
+        found.where("doc_id <> component_id").select(F.col("doc_id").alias("number")))
+    small = session.fits_broadcast(dropped)
+    return named.join(
+        dropped.hint("broadcast" if small else "shuffle_hash"), "number", "left_anti").select(*COLUMNS)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +77,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    What the stages write on the way is deleted, but for the result.
+    """
     docs = queries.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = session.materialize(stage(spark, docs, sf_dir))
-    return docs
+    result = session.scratch_path(spark, "corpus")
+    with session.job_scratch(spark):
+        for _, stage in STAGES[:-1]:
+            docs = session.materialize(stage(spark, docs, sf_dir))
+        last = STAGES[-1][1](spark, docs, sf_dir)
+        last.write.parquet(result)
+    return spark.read.schema(last.schema).parquet(result)

@@ -137,7 +137,14 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` (materialise it first) and say whether it may be broadcast."""
     size = F.lit(_ROW_OVERHEAD)
     for name, kind in df.dtypes:
-        size = size + (F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            # As text a value is hardly ever shorter than half its size in memory.
+            size = size + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            size = size + F.lit(16)
     total = df.agg(F.sum(size.cast("long")).alias("bytes")).first()["bytes"]
     return (total or 0) <= limit
 
