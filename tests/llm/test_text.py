@@ -120,6 +120,11 @@ def dressed(digits, shape):
     return "".join(next(digits) if c.isdigit() else c for c in shape)
 
 
+# Country codes of one and two digits; all others have three.
+CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+         "81 82 84 86 90 91 92 93 94 95 98".split()}
+
+
 def pseudonym_by_hand(match, key):
     if "@" in match:
         name, _, domain = match.partition("@")
@@ -146,8 +151,8 @@ def pseudonym_by_hand(match, key):
         return re.search(r"[-/.]", match)[0].join(values[i] for i in range(3))
     digits = re.sub(r"\D", "", match)
     if match[0] in "+(":
-        code = re.match(r"\+(\d{1,3})[ (-]|\+(\d)|()", match)
-        code = next(g for g in code.groups() if g is not None)
+        plus = digits if match[0] == "+" else ""
+        code = next((plus[:n] for n in (1, 2) if plus[:n] in CODES), plus[:3])
         return dressed(code + permuted(key, "phone", digits[len(code):]), match)
     if luhn(digits):
         return match
