@@ -17,12 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaceta import session
 from gaceta.llm.ngrams import word_ngrams
 
 # Letters, and 1151 numerals and the like that are told apart afterwards.
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 REMEMBERED = 1 << 18
+# Numbers in the table of words seen before: words times languages.
+REMEMBERED_NUMBERS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,8 @@ class LanguageParams:
     penalty: float = 3.0
     iterations: int = 50
     tolerance: float = 1e-4
+    # More distinct languages than this are refused: such a column names something else.
+    max_languages: int = 256
 
 
 def word_trigrams(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,15 +101,23 @@ def fit(
 ) -> LanguageModel:
     """The model of all languages that occur in usable rows.
 
-    To the driver come at most ``buckets`` sums per language, however many rows there are.
+    To the driver comes one row per language with at most ``buckets`` sums in it, however
+    many rows there are. More than ``max_languages`` languages are an error, raised before
+    anything is sent.
     """
-    rows = trigram_counts(docs, usable, params).toPandas()
-    languages = sorted(rows["lang"].unique())
-    counts = np.full((len(languages), params.buckets), params.smoothing)
-    at = {lang: i for i, lang in enumerate(languages)}
-    np.add.at(counts, (rows["lang"].map(at).to_numpy(int), rows["bucket"].to_numpy(int)),
-              rows["n"].to_numpy(float))
-    return LanguageModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)))
+    sums = session.materialize(trigram_counts(docs, usable, params))
+    found = sums.select("lang").distinct().count()
+    if found > params.max_languages:
+        raise ValueError(
+            f"column lang has {found} values, more than max_languages={params.max_languages}")
+    per_language = sums.groupBy("lang").agg(
+        F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("n"))
+    table = per_language.toArrow().sort_by("lang")
+    counts = np.full((table.num_rows, params.buckets), params.smoothing)
+    for row, buckets, n in zip(counts, table["buckets"], table["n"]):
+        row[buckets.values.to_numpy()] += n.values.to_numpy()
+    return LanguageModel(
+        table["lang"].to_pylist(), np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
 class Mixtures:
@@ -114,10 +127,11 @@ class Mixtures:
         self.model, self.params = model, params
         self.table = np.zeros((0, len(model.languages)))
         self.index: dict[str, int] = {}
+        self.room = min(REMEMBERED, REMEMBERED_NUMBERS // max(1, len(model.languages)))
 
     def word_logs(self, words: list[str]) -> np.ndarray:
         """Log-probability of each word (rows) in each language."""
-        if len(self.index) > REMEMBERED:
+        if len(self.index) > self.room:
             self.index, self.table = {}, self.table[:0]
         new = [w for w in words if w not in self.index]
         if new:

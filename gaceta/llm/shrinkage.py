@@ -10,9 +10,13 @@ STRENGTH_RANGE = (1.0, 1000.0)
 
 
 def beta_prior(groups: DataFrame, n: str, k: str) -> tuple[Column, Column]:
-    """(mean, strength) of ``beta_moments`` as a scalar subquery, for use in other tables."""
-    row = beta_moments(groups, n, k).select(F.struct("mean", "strength")).scalar()
-    return row.getField("mean"), row.getField("strength")
+    """(mean, strength) of ``beta_moments``, worked out now, for use in other tables.
+
+    Two numbers come to the driver. As literals they keep plans short: subqueries would be
+    repeated wherever a formula names them.
+    """
+    row = beta_moments(groups, n, k).first()
+    return F.lit(row["mean"]), F.lit(row["strength"])
 
 
 def beta_moments(groups: DataFrame, n: str, k: str) -> DataFrame:
