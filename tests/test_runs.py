@@ -151,6 +151,19 @@ def test_filter_lets_all_members_pass_and_few_others(spark):
     assert membership.maybe_members(both, "v", none, params).count() == 0
 
 
+def test_a_large_filter_is_neither_copied_nor_broadcast(spark, monkeypatch):
+    params = membership.IndexParams(buckets=4, words=64)
+    values = spark.range(300).select(F.concat(F.lit("a"), "id").alias("v"))
+    filters = session.materialize(membership.make_filter(values, "v", params))
+    asked = values.unionByName(spark.range(300).select(F.concat(F.lit("b"), "id").alias("v")))
+    broadcast = sorted(map(tuple, membership.maybe_members(asked, "v", filters, params).collect()))
+    monkeypatch.setattr(session, "fits_broadcast", lambda df, limit=0: False)
+    dealt = membership.maybe_members(asked, "v", filters, params)
+    plan = dealt._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "_salt" not in plan
+    assert sorted(map(tuple, dealt.collect())) == broadcast
+
+
 def test_lookup_reads_ids_of_few_buckets_only(spark, tmp_path, house):
     state = Warehouse(house).pinned(spark)
     index = ArticleIndex(spark, state.root, SMALL.index)
