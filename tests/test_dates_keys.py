@@ -65,3 +65,12 @@ def test_lookup_gives_default_and_both_joins_agree(spark):
     assert [r["k_id"] for r in broadcast] == [r["k_id"] for r in salted]
     expected = {"hot": 1, "k3": 2, "k9": 3}
     assert all(r["k_id"] == expected.get(r["k"], -1) for r in broadcast)
+
+
+def test_salted_copies_are_not_broadcast(spark):
+    rows = spark.range(100).selectExpr("id % 5 as k", "id as _seq")
+    dim = session.materialize(spark.createDataFrame([(i, f"v{i}") for i in range(4)], "k long, v string"))
+    joined = session.lookup_join(rows, dim, "k", spread="_seq", limit=0)
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert joined.where("v is null").count() == 20
