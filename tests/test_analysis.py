@@ -5,6 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from gaceta import session
 from gaceta.operators import analysis, counts
 from gaceta.params import QueryParams
 
@@ -96,6 +97,20 @@ def test_one_pass_counts_equal_separate_counts(spark):
         assert sorted(map(tuple, summed.collect())) == sorted(map(tuple, world.collect()))
 
 
+def test_levels_are_summed_after_one_shuffle(spark, monkeypatch):
+    _, df = corpus(spark)
+    finest = counts.grouped_counts(df, levels=counts.MONTH_LEVELS)
+    assert set(finest.columns) >= {*counts.MONTH, *counts.REGION, *counts.SOURCE, "word", "n"}
+    kept = session.materialize(finest.drop("level"))
+    monkeypatch.setattr(counts, "TASK_SUMS", 100)
+    summed = counts.months_summed(kept)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(word" in plan
+    for level, keys in counts.LEVELS.items():
+        one = sorted(map(tuple, counts.level_counts(summed, level).collect()))
+        assert one == sorted(map(tuple, counts.count_terms(df, keys).collect())) and one
+
+
 def test_top_terms_break_ties_by_word(spark):
     df = spark.createDataFrame(
         [(2023, 1, w, n) for w, n in (("b", 5), ("a", 5), ("c", 9), ("d", 1))],
