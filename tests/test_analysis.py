@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaceta import session
 from gaceta.operators import analysis, counts
-from gaceta.params import QueryParams
+from gaceta.params import QueryParams, TokenParams
 
 # Articles per day around the known peaks of a news collection, and those peaks.
 DAYS = {
@@ -63,6 +63,17 @@ def test_title_and_body_do_not_join(spark):
     assert got == [(1, "ana", 1), (1, "luz", 1), (1, "sol", 1)]
 
 
+def test_texts_are_cut_once_and_then_dealt_out(spark):
+    _, df = corpus(spark, n=20)
+    query = counts.count_terms(df, ["month"], TokenParams(stop_words=()))._jdf.queryExecution()
+    plan = query.optimizedPlan().toString()
+    assert "Generate explode(_words" in plan
+    assert plan.count("regexp_extract_all(lower(body") == plan.count("regexp_extract_all(lower(title") == 1
+    # Nulls, texts without a word and articles without a text give no row.
+    odd = spark.createDataFrame([(None, None, 1), ("", "..", 1), ("12", "sol", 2)], "title string, body string, k int")
+    assert [tuple(r) for r in counts.count_terms(odd, ["k"], TokenParams(stop_words=())).collect()] == [(2, "sol", 1)]
+
+
 def corpus(spark, n=400, seed=3):
     rng = random.Random(seed)
     vocabulary = ["chile", "país", "gobierno", "mar", "sur", "norte", "luz", *[f"raro{c}" for c in "abcdefgh"]]
