@@ -249,6 +249,25 @@ def test_only_changed_months_are_counted(spark, tmp_path, house, monkeypatch):
     assert analytics.count_months(spark, Warehouse(house), SMALL) == []
 
 
+def test_kept_rows_are_picked_only_where_others_lie_beside(spark, tmp_path, house):
+    analytics.run_queries(spark, house, params=SMALL)
+
+    def kept():
+        at = Warehouse(house).pinned(spark)
+        return analytics.month_counts(spark, at, SMALL).read("terms", analytics.TERMS, at.parts_of(spark, FACT))
+
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    before = kept()
+    assert "Join" not in plan(before) and before.count() > 2
+    # February is replaced: the rows of the first update's February are still there, and not read.
+    load(spark, tmp_path, house, ["7,2023-02-05,C,t,viento sol,"])
+    analytics.run_queries(spark, house, params=SMALL)
+    after = kept()
+    assert "Join" in plan(after) and after.columns == before.columns
+    assert sorted(r["word"] for r in after.where("month = 2").collect()) == ["sol", "viento"]
+    assert sorted(map(tuple, after.where("month = 1").collect())) == sorted(map(tuple, before.where("month = 1").collect()))
+
+
 def test_folded_report_is_that_of_all_facts(spark, tmp_path, house):
     """Also of facts that break the rules, which only a run without the usual steps writes."""
     run = Run(spark, house)
