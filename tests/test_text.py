@@ -48,6 +48,20 @@ def test_word_count(evaluate):
     assert evaluate(cases, lambda c: text.word_count(F.col(c))) == list(cases.values())
 
 
+def test_ascii_texts_are_folded_without_a_lookup_per_character(spark):
+    df = spark.createDataFrame([("El niño",), ("ASCII text",), (None,)], "x string")
+    folded = df.select(text.fold(F.col("x")).alias("y"))
+    assert [r["y"] for r in folded.collect()] == ["el nino", "ascii text", ""]
+    assert "CASE WHEN RLIKE" in folded._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_characters_are_searched_only_where_their_first_byte_is(evaluate):
+    cases = {"豩": "á", "資 x": "資 x", "a谷b豩": "aübá", "è谷": "èü", "é Â¿": "é ¿", "ÃÂ": "ÃÂ", "plain": "plain"}
+    assert evaluate(cases, lambda c: text.repair(F.col(c))) == list(cases.values())
+    assert evaluate(["豩 è", "èé", "資"], lambda c: text._shows(F.col(c), text.REPAIR_SIGNS)) == [True, False, False]
+    assert evaluate(["x"], lambda c: text._shows(F.col(c), text.REPAIR_SIGNS))[0] is False
+
+
 def test_tokens(evaluate):
     cases = {
         "ÁRBOL Ñuñoa niño": ["árbol", "ñuñoa", "niño"],
